@@ -85,11 +85,11 @@ def merge_counters(delta: DataFrame, stored: DataFrame) -> DataFrame:
     """A5: stored and new maps added key by key, for the users with new rows.
 
     Keys of either side survive, common keys add. ``delta`` may hold many rows
-    per user; they are added up first, so that the join and the union see one
-    row per user and key.
+    per user; they are added up before they meet the stored maps. A new row
+    with an empty map still gives its user's stored map.
     """
     fresh = sum_counters(explode_counters(delta))
-    known = explode_counters(touched_only(stored, fresh))
+    known = explode_counters(touched_only(stored, delta))
     both = fresh.select("user_id", "key", F.col("total").cast("string").alias("value"))
     return counters_to_json(sum_counters(both.unionByName(known)))
 

@@ -204,6 +204,7 @@ ORACLE_SQL: dict[str, str] = {
     "tumble_fluent_day": _tumble("1 day"),
     "tumble_stream": _tumble("30 seconds", _BIGINT),
     "windows_append": _CLOSED,
+    "windows_append_sql": _CLOSED,
     "ride_copy": _RIDES,
     "ride_copy_stream": _RIDES,
     "publish_keyed_json": _KEYED,

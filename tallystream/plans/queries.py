@@ -23,6 +23,7 @@ from tallystream.operators import (
     tumble_sql,
     user_totals,
 )
+from tallystream.operators.totals import TOTALS
 from tallystream.plans import views
 from tallystream.schemas import (
     PICK_TABLE,
@@ -41,8 +42,12 @@ from tallystream.streaming.jobs import (
     totals_writer,
     totals_as_counters,
 )
-from tallystream.streaming.ledger import Ledger
-from tallystream.streaming.processing_time import closing_windows, wait_closed
+from tallystream.streaming.ledger import Ledger, folder_bytes
+from tallystream.streaming.processing_time import (
+    closing_windows,
+    closing_windows_sql,
+    wait_closed,
+)
 
 CUT = "2024-01-16 00:00:00"
 EARLY_CUT = "2024-01-02 00:00:00"
@@ -84,8 +89,11 @@ def pick_project_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "picks_printed")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     spark.catalog.createTable(name, path=path, source="parquet", schema=PRINT_SINK)
-    pick_project(spark, sf_dir).write.insertInto(name)
-    return spark.table(name)
+    try:
+        pick_project(spark, sf_dir).write.insertInto(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files are external and stay
+    return spark.read.schema(PRINT_SINK).parquet(path)
 
 
 def ride_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,9 +197,7 @@ def user_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     writer = each_batch(totals, keep).outputMode("update")
     launch(writer, "user_stats", f"{work}/checkpoints", available_now=True).awaitTermination()
     stored = spark.read.parquet(f"{work}/table")
-    values = F.struct(*(c for c in stored.columns if c not in ("user_id", "batch")))
-    latest = stored.groupBy("user_id").agg(F.max_by(values, "batch").alias("v"))
-    return latest.select("user_id", "v.*")
+    return stored.groupBy("user_id").agg(*(F.max_by(c, "batch").alias(c) for c in TOTALS))
 
 
 def user_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +226,8 @@ def user_stats_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.option("maxRecordsPerFile", per_file)
         .text(f"{work}/topic")
     )
-    files = spark.read.text(f"{work}/topic").inputFiles()
-    messages = file_topic(spark, f"{work}/topic", max_files_per_trigger=-(-len(files) // 4))
+    batch_bytes = min(max(folder_bytes(spark, f"{work}/topic") // 4, 1), 200 << 30)
+    messages = file_topic(spark, f"{work}/topic", max_bytes_per_trigger=batch_bytes)
     ledger = _totals_ledger(f"{work}/table", fold_every=3)
     totals_job(
         messages, ledger.add, "user_stats_from_topic", f"{work}/checkpoints", available_now=True
@@ -230,8 +236,7 @@ def user_stats_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _totals_ledger(path: str, **settings) -> Ledger:
-    sums = ["total_picks", "total_coins_staked", "won", "loss", "push"]
-    return Ledger(path, keys=["user_id"], sums=sums, **settings)
+    return Ledger(path, keys=["user_id"], sums=TOTALS, **settings)
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
@@ -377,23 +382,24 @@ def tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.read(spark)
 
 
-def windows_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processing-time windows, written once on close; summed per user.
+def _windows_append(windows):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Processing-time windows, written once on close; summed per user.
+
+        Windows of two seconds keep the wait short.
+        """
+        work = scratch_dir(spark, "windows")
+        session = _stream_session(spark)
+        picks = views.picks(views.events_stream(session, sf_dir))
+        writer = table_writer(windows(picks, size="2 seconds", exact=True), f"{work}/table")
+        stream = launch(writer, "windows", f"{work}/checkpoints", every="1 second")
+        wait_closed(stream, size_seconds=2, timeout=24 * 3600)
+        stored = spark.read.parquet(f"{work}/table")
+        return stored.groupBy("user_fkey").agg(
+            F.sum("total_risk_amount").alias("total_risk_amount")
+        )
 
-    Windows of two seconds keep the wait short.
-    """
-    work = scratch_dir(spark, "windows")
-    session = _stream_session(spark)
-    picks = views.picks(views.events_stream(session, sf_dir))
-    closed = closing_windows(picks, "2 seconds")
-    query = launch(
-        table_writer(closed, f"{work}/table"), "windows", f"{work}/checkpoints", every="1 second"
-    )
-    wait_closed(query, size_seconds=2, timeout=24 * 3600)
-    stored = spark.read.parquet(f"{work}/table")
-    return stored.groupBy("user_fkey").agg(
-        F.sum(F.col("total_risk_amount").cast("bigint")).alias("total_risk_amount")
-    )
+    return query
 
 
 QUERIES = {
@@ -423,7 +429,8 @@ QUERIES = {
     "tumble_sql_hour": _tumble_sql("1 hour"),
     "tumble_fluent_day": _tumble_fluent("1 day"),
     "tumble_stream": tumble_stream,
-    "windows_append": windows_append,
+    "windows_append": _windows_append(closing_windows),
+    "windows_append_sql": _windows_append(closing_windows_sql),
     "ride_copy": ride_copy,
     "ride_copy_stream": ride_copy_stream,
     "publish_keyed_json": publish_keyed_json,

@@ -10,7 +10,12 @@ from tallystream.streaming.jobs import (
     totals_job,
     window_job,
 )
-from tallystream.streaming.processing_time import closing_windows, heartbeat, wait_closed
+from tallystream.streaming.processing_time import (
+    closing_windows,
+    closing_windows_sql,
+    heartbeat,
+    wait_closed,
+)
 from tallystream.streaming.sinks import (
     console_writer,
     file_topic_writer,
@@ -22,6 +27,7 @@ from tallystream.streaming.sinks import (
 
 __all__ = [
     "closing_windows",
+    "closing_windows_sql",
     "console_writer",
     "copy_job",
     "counters_job",

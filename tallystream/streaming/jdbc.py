@@ -12,8 +12,8 @@ in two steps:
    staging table. If the fence row exists, the batch is done already.
 
 The database sees one row per key and batch. Statements are PostgreSQL's. The
-driver needs a DB-API connection, passed in as ``connect``, and Spark a JDBC
-driver on its class path.
+driver needs a DB-API connection without autocommit, passed in as ``connect``,
+and Spark a JDBC driver on its class path.
 """
 
 import time
@@ -140,10 +140,9 @@ class JdbcTarget:
         connection = self.connect()
         try:
             cursor = connection.cursor()
-            cursor.execute("BEGIN")
             for sql in statements:
                 cursor.execute(sql)
-            cursor.execute("COMMIT")
+            connection.commit()
         except Exception:
             connection.rollback()
             raise

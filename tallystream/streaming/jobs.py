@@ -148,10 +148,15 @@ def window_job(
     checkpoints: str,
     size: str = WINDOW_SIZE,
     every: str = "1 second",
+    windows: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Messages to processing-time windows, each written once, on close."""
+    """Messages to processing-time windows, each written once, on close.
+
+    ``windows`` replaces the default aggregation, for example by its SQL form.
+    """
     picks = json_table(messages, PICK_TABLE)
-    return launch(writer_of(closing_windows(picks, size)), name, checkpoints, every=every)
+    closed = closing_windows(picks, size) if windows is None else windows(picks)
+    return launch(writer_of(closed), name, checkpoints, every=every)
 
 
 def project_job(messages: DataFrame, name: str, checkpoints: str, **run) -> StreamingQuery:

@@ -100,6 +100,11 @@ def _path_and_fs(spark: SparkSession, path: str, action):
     return action(target.getFileSystem(spark._jsc.hadoopConfiguration()), target)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a folder, as the file system states it."""
+    return _path_and_fs(spark, path, lambda fs, p: fs.getContentSummary(p).getLength())
+
+
 def _delete(fs, path):
     return fs.delete(path, True)
 

@@ -35,19 +35,28 @@ def heartbeat(spark: SparkSession) -> DataFrame:
     )
 
 
-def closing_windows(picks: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
+def with_heartbeat(picks: DataFrame) -> DataFrame:
+    """Picks and heartbeats with their processing time, under a watermark on it."""
+    real = picks.select("user_fkey", "risk_amount", F.lit(1).alias("is_pick"))
+    rows = with_proctime(real.unionByName(heartbeat(picks.sparkSession)))
+    return rows.withWatermark("proctime", "0 seconds")
+
+
+def closing_windows(
+    picks: DataFrame, size: str = WINDOW_SIZE, exact: bool = False
+) -> DataFrame:
     """Stake per window and user, each window emitted once, on close (append mode).
 
     Rows are pre-aggregated per task before the shuffle to the state store, and
-    a window's state is dropped when it is emitted.
+    a window's state is dropped when it is emitted. ``exact`` keeps the bigint
+    sum.
     """
-    real = picks.select("user_fkey", "risk_amount", F.lit(1).alias("is_pick"))
-    rows = with_proctime(real.unionByName(heartbeat(picks.sparkSession)))
+    total = F.sum("risk_amount")
     sums = (
-        rows.withWatermark("proctime", "0 seconds")
+        with_heartbeat(picks)
         .groupBy(F.window("proctime", size).alias("w"), "user_fkey")
         .agg(
-            F.sum("risk_amount").cast("float").alias("total_risk_amount"),
+            (total if exact else total.cast("float")).alias("total_risk_amount"),
             F.sum("is_pick").alias("picks"),
         )
     )
@@ -59,6 +68,24 @@ def closing_windows(picks: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
     )
 
 
+def closing_windows_sql(
+    picks: DataFrame, table: str = "picks_data", size: str = WINDOW_SIZE, exact: bool = False
+) -> DataFrame:
+    """The same in SQL, over a stream registered as ``table``."""
+    with_heartbeat(picks).createOrReplaceTempView(table)
+    return picks.sparkSession.sql(
+        f"""
+        SELECT user_fkey,
+               window.start AS window_start,
+               window.end AS window_end,
+               CAST(sum(risk_amount) AS {"BIGINT" if exact else "FLOAT"}) AS total_risk_amount
+        FROM {table}
+        GROUP BY window(proctime, '{size}'), user_fkey
+        HAVING sum(is_pick) > 0
+        """
+    )
+
+
 def wait_closed(query: StreamingQuery, size_seconds: float, timeout: float) -> None:
     """Stop a query over a finite input once all its windows are written.
 
