@@ -1,0 +1,63 @@
+"""Topic options and record columns. No broker is used."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream.functions import to_messages
+from tallystream.plans import views
+from tallystream.schemas import RAW_RECORD, SENSOR_EVENT
+from tallystream.sources import json_table, kafka_options, raw_records, start_options
+from tallystream.sources.topics import kafka_values
+from tallystream.streaming import kafka_writer_options
+from tests.conftest import rows, texts
+
+
+def test_start_positions():
+    assert start_options() == {"startingOffsets": "latest"}
+    assert start_options("earliest") == {"startingOffsets": "earliest"}
+    assert start_options("resume") == {"startingOffsets": "earliest"}
+    with pytest.raises(ValueError):
+        start_options("middle")
+
+
+def test_reader_options():
+    assert kafka_options("b:9092", "picks", "earliest", 1000, includeHeaders="true") == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "picks",
+        "failOnDataLoss": "true",
+        "startingOffsets": "earliest",
+        "includeHeaders": "true",
+        "maxOffsetsPerTrigger": "1000",
+    }
+
+
+def test_writer_options():
+    assert kafka_writer_options("b:9092", "out") == {
+        "kafka.bootstrap.servers": "b:9092",
+        "topic": "out",
+    }
+
+
+def test_reader_needs_the_connector(spark):
+    """The connector is not installed here; the error is Spark's own."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_values(spark, kafka_options("b:9092", "picks"))
+
+
+def test_raw_records(spark, sf_dir):
+    topic = views.raw_topic(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    assert topic.columns == RAW_RECORD.fieldNames()
+    shown = raw_records(topic)
+    assert shown.columns == RAW_RECORD.fieldNames()
+    assert dict(shown.dtypes)["key"] == dict(shown.dtypes)["value"] == "string"
+    with_headers = raw_records(topic.withColumn("headers", F.array()))
+    assert with_headers.columns[-1] == "headers"
+
+
+def test_sensor_events_are_keyed_by_device(spark):
+    text = (
+        '{"device_id":"00:0f:00:70:91:0a","co":0.0042,"humidity":51.25,"motion":false,'
+        '"temp":21.5,"ampere_hour":1.5,"ts":1712235175054}'
+    )
+    table = json_table(texts(spark, text), SENSOR_EVENT, strict=True)
+    assert rows(to_messages(table, key="device_id")) == [("00:0f:00:70:91:0a", text)]

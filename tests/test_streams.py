@@ -1,0 +1,288 @@
+"""T2-T8, K1, K2 on files: streams equal batches, replays change nothing."""
+
+import os
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallystream.functions import parse_picks
+from tallystream.operators import contributions, counters_to_json, user_totals
+from tallystream.operators.totals import TOTALS
+from tallystream.plans import views
+from tallystream.sources import file_topic
+from tallystream.streaming import (
+    copy_job,
+    counters_job,
+    file_topic_writer,
+    launch,
+    project_job,
+    scratch_dir,
+    tail_job,
+    totals_job,
+)
+from tallystream.streaming.jobs import counters_writer, pick_counters
+from tallystream.streaming.ledger import Ledger
+from tests.conftest import pick, rows, texts
+
+
+def messages(spark, sf_dir):
+    return views.pick_messages(spark.read.parquet(f"{sf_dir}/events.parquet")).select("value")
+
+
+def publish(df, path, files):
+    df.repartition(files).write.mode("append").text(path)
+
+
+def totals_ledger(folder, **settings):
+    return Ledger(f"{folder}/table", keys=["user_id"], sums=TOTALS, **settings)
+
+
+def run_totals(spark, folder, ledger, per_batch=1, name="totals", write=None):
+    query = totals_job(
+        file_topic(spark, f"{folder}/topic", max_files_per_trigger=per_batch),
+        write or ledger.add,
+        name,
+        f"{folder}/checkpoints",
+        available_now=True,
+    )
+    query.awaitTermination()
+    return query
+
+
+def expected_totals(df):
+    return rows(user_totals(contributions(parse_picks(df))))
+
+
+@pytest.mark.parametrize("files,per_batch,fold_every", [(1, 1, 50), (7, 1, 3), (5, 2, 1), (6, 4, 2)])
+def test_totals_equal_batch_for_any_cut(spark, sf_dir, folder, files, per_batch, fold_every):
+    df = messages(spark, sf_dir)
+    publish(df, f"{folder}/topic", files)
+    ledger = totals_ledger(folder, fold_every=fold_every)
+    run_totals(spark, folder, ledger, per_batch)
+    assert rows(ledger.read(spark)) == expected_totals(df)
+
+
+def test_restart_continues_and_adds(spark, sf_dir, folder):
+    df = messages(spark, sf_dir)
+    ledger = totals_ledger(folder, fold_every=2)
+    for _ in range(3):
+        publish(df, f"{folder}/topic", 2)
+        run_totals(spark, folder, ledger)
+    assert rows(ledger.read(spark)) == expected_totals(df.unionByName(df).unionByName(df))
+    run_totals(spark, folder, ledger)
+    assert rows(ledger.read(spark)) == expected_totals(df.unionByName(df).unionByName(df))
+
+
+@pytest.mark.parametrize("fold_every", [1, 2, 50])
+def test_failure_between_write_and_commit(spark, sf_dir, folder, fold_every):
+    """The sink holds the batch, the checkpoint does not: the batch runs again."""
+    df = messages(spark, sf_dir)
+    publish(df, f"{folder}/topic", 5)
+    ledger = totals_ledger(folder, fold_every=fold_every)
+    fail_at = {1, 2, 4}
+
+    def write(batch, query_id, batch_id):
+        ledger.add(batch, query_id, batch_id)
+        if batch_id in fail_at:
+            fail_at.remove(batch_id)
+            raise RuntimeError("lost after the write")
+
+    failures = 0
+    while True:
+        try:
+            run_totals(spark, folder, ledger, write=write)
+            break
+        except Exception as error:
+            assert "lost after the write" in str(error)
+            failures += 1
+    assert failures == 3
+    assert rows(ledger.read(spark)) == expected_totals(df)
+
+
+def test_failure_during_write_leaves_no_part_behind(spark, folder):
+    """A folder without its success mark is not read, and is written anew."""
+    ledger = totals_ledger(folder)
+    delta = spark.createDataFrame([(1, 1, 10, 1, 0, 0)], ["user_id", *TOTALS])
+    ledger.add(delta, "q", 0)
+    ledger.add(delta, "q", 1)
+    os.remove(f"{folder}/table/query-q/delta-1/_SUCCESS")
+    assert rows(ledger.read(spark)) == [(1, 1, 10, 1, 0, 0)]
+    ledger.add(delta, "q", 1)
+    ledger.add(delta, "q", 1)
+    assert rows(ledger.read(spark)) == [(1, 2, 20, 2, 0, 0)]
+
+
+def test_new_checkpoint_adds_to_what_is_stored(spark, sf_dir, folder):
+    df = messages(spark, sf_dir)
+    publish(df, f"{folder}/topic", 2)
+    ledger = totals_ledger(folder)
+    run_totals(spark, folder, ledger, name="first")
+    run_totals(spark, folder, ledger, name="second")
+    assert rows(ledger.read(spark)) == expected_totals(df.unionByName(df))
+
+
+def test_folds_bound_the_folders(spark, folder):
+    ledger = totals_ledger(folder, fold_every=3)
+    delta = spark.createDataFrame([(1, 1, 10, 1, 0, 0)], ["user_id", *TOTALS])
+    for n in range(10):
+        ledger.add(delta, "q", n)
+        assert rows(ledger.read(spark)) == [(1, n + 1, 10 * (n + 1), n + 1, 0, 0)]
+        assert len(os.listdir(f"{folder}/table/query-q")) <= 7
+
+
+def test_first_values_stay(spark, folder):
+    ledger = Ledger(f"{folder}/table", ["user_id"], ["n"], firsts=["created"], fold_every=2)
+    for n in range(5):
+        ledger.add(spark.createDataFrame([(1, 1, 100 + n)], "user_id long, n long, created long"), "q", n)
+    assert rows(ledger.read(spark)) == [(1, 5, 100)]
+
+
+def test_bad_message_stops_the_job(spark, folder):
+    texts(spark, pick(1), pick("no-id")).write.text(f"{folder}/topic")
+    with pytest.raises(Exception, match="no user id in key"):
+        run_totals(spark, folder, totals_ledger(folder))
+
+
+def test_counters_equal_totals(spark, sf_dir, folder):
+    """The column form and the JSON form of the counter job agree (K2)."""
+    df = messages(spark, sf_dir)
+    publish(df, f"{folder}/topic", 4)
+    source = lambda: file_topic(spark, f"{folder}/topic", max_files_per_trigger=1)
+    columns = Ledger(f"{folder}/columns", ["user_id", "key"], ["total"])
+    counters_job(
+        source(), columns.add, "columns", f"{folder}/c", available_now=True
+    ).awaitTermination()
+    as_json = Ledger(f"{folder}/json", ["user_id", "key"], ["total"], fold_every=2)
+    launch(
+        counters_writer(pick_counters(contributions(parse_picks(source()))), as_json.add),
+        "json",
+        f"{folder}/c",
+        available_now=True,
+    ).awaitTermination()
+    by_key = {(u, k): v for u, k, v in rows(columns.read(spark))}
+    assert by_key == {(u, k): v for u, k, v in rows(as_json.read(spark))}
+    for user, picks, staked, won, loss, push in expected_totals(df):
+        mine = {k: v for (u, k), v in by_key.items() if u == user}
+        assert mine == {
+            "won": won,
+            "loss": loss,
+            "push": push,
+            "total_coins_staked": staked,
+            "total_settled_picks": picks,
+        }
+    text = counters_to_json(columns.read(spark)).first().general_stats
+    assert list(__import__("json").loads(text)) == sorted(
+        ["loss", "push", "total_coins_staked", "total_settled_picks", "won"]
+    )
+
+
+def test_update_mode_totals(spark, sf_dir, folder):
+    """T2, stateful form: each batch gives the new totals of its users."""
+    df = messages(spark, sf_dir)
+    publish(df, f"{folder}/topic", 3)
+    stream = user_totals(
+        contributions(parse_picks(file_topic(spark, f"{folder}/topic", max_files_per_trigger=1)))
+    )
+    seen = {}
+
+    def keep(batch, _):
+        seen.update({r.user_id: tuple(r) for r in batch.collect()})
+
+    launch(
+        stream.writeStream.outputMode("update").foreachBatch(keep),
+        "update",
+        f"{folder}/c",
+        available_now=True,
+    ).awaitTermination()
+    assert sorted(seen.values(), key=repr) == expected_totals(df)
+
+
+def ride(n, **change):
+    fields = {
+        "rideId": n,
+        "isStart": True,
+        "eventTime": "2013-01-01 00:00:00",
+        "lon": -73.98,
+        "lat": 40.75,
+        "psgCnt": 1,
+        "taxiId": 100 + n,
+    }
+    fields.update(change)
+    import json
+
+    return json.dumps({k: v for k, v in fields.items() if v != "absent"})
+
+
+def copy(spark, folder):
+    copy_job(
+        spark.readStream.text(f"{folder}/in"),
+        lambda df, sink: file_topic_writer(df, f"{folder}/out", sink),
+        "copy",
+        f"{folder}/c",
+        available_now=True,
+    ).awaitTermination()
+    return [r.value for r in spark.read.text(f"{folder}/out").collect()]
+
+
+def test_ride_copy_keeps_order_and_renames(spark, folder):
+    texts(spark, *[ride(n) for n in range(20)]).coalesce(1).write.text(f"{folder}/in")
+    out = copy(spark, folder)
+    assert out[3] == (
+        '{"rideId":3,"taxiId":103,"isStart":true,"lon":-73.98,"lat":40.75,'
+        '"psgCnt":1,"rideTime":"2013-01-01 00:00:00"}'
+    )
+    assert [int(text.split(",")[0].split(":")[1]) for text in out] == list(range(20))
+
+
+def test_ride_copy_is_strict(spark, folder):
+    texts(spark, ride(1), ride(2, psgCnt="absent")).write.text(f"{folder}/in")
+    with pytest.raises(Exception, match="missing field"):
+        copy(spark, folder)
+
+
+def test_console_jobs_read_every_row(spark, folder):
+    texts(spark, pick(1), pick(2)).write.text(f"{folder}/in")
+    query = project_job(spark.readStream.text(f"{folder}/in"), "print", f"{folder}/c", available_now=True)
+    query.awaitTermination()
+    assert sum(p.numInputRows for p in query.recentProgress) == 2
+    assert query.name == "print"
+
+    records = views.raw_topic(
+        spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, props string")
+        .parquet("/root/testdata/sf0.001/events.parque[t]")
+    )
+    query = tail_job(records, "tail", f"{folder}/c", available_now=True)
+    query.awaitTermination()
+    assert sum(p.numInputRows for p in query.recentProgress) > 0
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+
+
+cuts = st.lists(
+    st.lists(st.tuples(st.integers(1, 3), st.integers(0, 99)), min_size=1, max_size=5),
+    min_size=1,
+    max_size=6,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cuts, st.integers(1, 4), st.data())
+def test_ledger_with_replays_equals_a_plain_sum(spark, tmp_path_factory, batches, fold_every, data):
+    ledger = Ledger(
+        str(tmp_path_factory.mktemp("ledger")), ["user_id"], ["n"], fold_every=fold_every
+    )
+    expected = {}
+    for number, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, "user_id long, n long")
+        delta = df.groupBy("user_id").agg(F.sum("n").alias("n"))
+        for _ in range(data.draw(st.integers(1, 2))):
+            ledger.add(delta, "q", number)
+        for user, n in batch:
+            expected[user] = expected.get(user, 0) + n
+    assert rows(ledger.read(spark)) == sorted(expected.items())
