@@ -3,13 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Spark leaves null fields out by default; a message states every field.
-_KEEP_NULLS = {"ignoreNullFields": "false"}
+# Spark leaves null fields out by default; a message states every field. Times
+# are written in UTC, whatever the session's zone.
+_OPTIONS = {"ignoreNullFields": "false", "timeZone": "UTC"}
 
 
 def json_text(*columns: str | Column) -> Column:
     """one JSON object of the columns, in the order given."""
-    return F.to_json(F.struct(*columns), _KEEP_NULLS)
+    return F.to_json(F.struct(*columns), _OPTIONS)
 
 
 def stats_json(

@@ -18,10 +18,16 @@ def trailing_id(key: Column) -> Column:
     A key without a valid trailing integer is a bad record and fails the
     query, whatever the session's ANSI setting. ``try_cast`` follows ANSI
     rules, so ``5.5`` and out-of-range numbers are bad as well.
+
+    Keys are split from the left. Only where three underscores meet does that
+    differ from a search from the right, which is faster.
     """
-    parsed = F.element_at(F.split(key, "__"), -1).try_cast("bigint")
+    split = F.element_at(F.split(key, "__"), -1)
+    tail = F.when(F.contains(key, F.lit("___")), split).otherwise(
+        F.substring_index(key, "__", -1)
+    )
     message = F.concat(F.lit("no user id in key: "), F.coalesce(key, F.lit("null")))
-    return F.coalesce(parsed, F.raise_error(message).cast("bigint"))
+    return F.coalesce(tail.try_cast("bigint"), F.raise_error(message).cast("bigint"))
 
 
 def user_key(user_id: Column) -> Column:

@@ -27,7 +27,7 @@ def _last_wins(counters: Column) -> Column:
     keys = F.map_keys(counters)
     later = lambda e, i: F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
     last = F.filter(F.map_entries(counters), lambda e, i: ~later(e, i))
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    repeated = (F.size(keys) > 1) & (F.size(F.array_distinct(keys)) < F.size(keys))
     return F.when(repeated, F.map_from_entries(last)).otherwise(counters)
 
 

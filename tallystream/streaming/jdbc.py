@@ -31,6 +31,7 @@ from tallystream.operators.counters import (
     insert_defaults,
     sum_counters,
 )
+from tallystream.operators.totals import TOTALS
 from tallystream.sources.stored import read_touched
 
 FENCE_TABLE = """
@@ -154,12 +155,17 @@ def new_attempt(query_id: str, batch_id: int) -> str:
     return f"{query_id}/{int(batch_id)}/{uuid.uuid4().hex}"
 
 
-def totals_target(options: dict[str, str], connect: Callable, table: str, **settings) -> JdbcTarget:
-    """K1: running totals, added to the stored row of the user."""
-    sums = ["total_picks", "total_coins_staked", "won", "loss", "push"]
-    return JdbcTarget(
-        options, connect, table, columns=["user_id", *sums], add=sums, **settings
-    )
+def totals_target(
+    options: dict[str, str], connect: Callable, table: str, absolute: bool = False, **settings
+) -> JdbcTarget:
+    """K1: running totals, added to the stored row of the user.
+
+    With ``absolute`` they replace it: for totals that a stream keeps itself
+    (update mode) and has seen from the first pick on.
+    """
+    columns = ["user_id", *TOTALS]
+    change = {"replace": TOTALS} if absolute else {"add": TOTALS}
+    return JdbcTarget(options, connect, table, columns=columns, **change, **settings)
 
 
 def windows_target(options: dict[str, str], connect: Callable, table: str, **settings) -> JdbcTarget:

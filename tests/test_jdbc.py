@@ -10,7 +10,6 @@ import json
 import duckdb
 import pytest
 
-from tallystream.operators import counters_to_json
 from tallystream.operators.totals import TOTALS
 from tallystream.sources import file_topic
 from tallystream.streaming import counters_job, totals_job
@@ -147,6 +146,14 @@ def test_replayed_batch_changes_nothing(spark, database):
     assert stored_totals(database) == [(1, 3, 15, 3, 0, 0)]
 
 
+def test_absolute_totals_replace_the_stored_row(spark, database):
+    target = local(totals_target, LocalTarget, database, "totals", absolute=True)
+    target.write(totals_df(spark, (1, 1, 5, 1, 0, 0)), "q", 0)
+    target.write(totals_df(spark, (1, 4, 9, 2, 1, 0)), "q", 1)
+    target.write(totals_df(spark, (1, 1, 5, 1, 0, 0)), "q", 0)
+    assert stored_totals(database) == [(1, 4, 9, 2, 1, 0)]
+
+
 def test_rows_staged_twice_count_once(spark, database):
     target = local(totals_target, LocalTarget, database, "totals", copies=3)
     target.write(totals_df(spark, (1, 1, 5, 1, 0, 0)), "q", 0)
@@ -286,4 +293,3 @@ def test_jobs_into_the_database(spark, database, folder):
             "total_settled_picks": n,
         }
     assert len(stored_totals(database)) == 6
-    assert counters_to_json  # the stored text has the form this operator writes

@@ -1,0 +1,99 @@
+"""The job runner, with files in place of topics and database."""
+
+import time
+
+import pytest
+
+from tallystream.__main__ import main, options, start
+from tallystream.operators.totals import TOTALS
+from tallystream.plans import views
+from tallystream.streaming import wait_closed
+from tallystream.streaming.ledger import Ledger
+from tests.conftest import pick, rows, texts
+
+
+@pytest.fixture
+def topic(spark, folder):
+    texts(spark, pick(1, 10, 511), pick(1, 20, 512), pick(2, 5, currency=331)).write.text(
+        f"{folder}/topic"
+    )
+    return f"{folder}/topic"
+
+
+def run(folder, job, topic, *more):
+    main([job, "--files", topic, "--checkpoints", f"{folder}/checkpoints", "--once", *more])
+
+
+def test_totals(spark, folder, topic):
+    run(folder, "totals", topic, "--to-files", f"{folder}/table")
+    stored = Ledger(f"{folder}/table", ["user_id"], TOTALS).read(spark)
+    assert rows(stored) == [(1, 2, 30, 1, 1, 0), (2, 0, 0, 0, 0, 0)]
+
+
+def test_counters(spark, folder, topic):
+    run(folder, "counters", topic, "--to-files", f"{folder}/table")
+    stored = Ledger(f"{folder}/table", ["user_id", "key"], ["total"]).read(spark)
+    assert (1, "total_coins_staked", 30) in rows(stored)
+    assert (2, "total_settled_picks", 0) in rows(stored)
+
+
+def test_print_and_tail(spark, folder, topic):
+    run(folder, "print", topic)
+    records = views.raw_topic(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    records = records.withColumn("timestamp", records.timestamp.cast("timestamp"))
+    records.write.parquet(f"{folder}/records")
+    run(folder, "tail", f"{folder}/records")
+
+
+def test_copy(spark, folder):
+    message = (
+        '{"rideId":1,"isStart":true,"eventTime":"t","lon":1.5,"lat":2.5,"psgCnt":3,"taxiId":4}'
+    )
+    texts(spark, message).write.text(f"{folder}/topic")
+    run(folder, "copy", f"{folder}/topic", "--to-files", f"{folder}/out")
+    [row] = spark.read.text(f"{folder}/out").collect()
+    assert row.value.endswith('"psgCnt":3,"rideTime":"t"}')
+
+
+def test_publish(spark, folder):
+    spark.createDataFrame([("u", 1)], "user_fkey string, n int").write.parquet(f"{folder}/t")
+    run(folder, "publish", f"{folder}/t", "--to-files", f"{folder}/out")
+    assert rows(spark.read.text(f"{folder}/out")) == [('{"user_fkey":"u","n":1}',)]
+
+
+@pytest.mark.parametrize("form", [[], ["--sql"]])
+def test_windows(spark, folder, topic, form):
+    args = options().parse_args(
+        ["windows", "--files", topic, "--checkpoints", f"{folder}/checkpoints",
+         "--to-files", f"{folder}/table", "--window", "2 seconds", *form]
+    )
+    wait_closed(start(spark, args), size_seconds=2, timeout=60)
+    found = sorted((r[0][-1], r[3]) for r in spark.read.parquet(f"{folder}/table").collect())
+    assert found == [("1", 30.0), ("2", 5.0)]
+
+
+def test_windows_do_not_run_once(folder, topic):
+    with pytest.raises(SystemExit):
+        run(folder, "windows", topic, "--to-files", f"{folder}/table")
+
+
+def test_a_job_goes_on_with_its_trigger(spark, folder, topic):
+    """Without --once a job runs until it is stopped."""
+    args = options().parse_args(
+        ["totals", "--files", topic, "--checkpoints", f"{folder}/checkpoints",
+         "--to-files", f"{folder}/table", "--every", "200 milliseconds"]
+    )
+    query = start(spark, args)
+    try:
+        query.processAllAvailable()
+        texts(spark, pick(3, 1)).write.mode("append").text(topic)
+        deadline = time.time() + 30
+        while time.time() < deadline:
+            query.processAllAvailable()
+            stored = rows(Ledger(f"{folder}/table", ["user_id"], TOTALS).read(spark))
+            if (3, 1, 1, 0, 0, 0) in stored:
+                break
+        assert (3, 1, 1, 0, 0, 0) in stored
+        assert query.isActive
+    finally:
+        query.stop()

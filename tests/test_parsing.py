@@ -115,6 +115,9 @@ def test_record_profile(spark):
         ("u__ 5 ", 5),
         ("5", 5),
         ("a__b__0012", 12),
+        ("a____5", 5),
+        ("a___b__5", 5),
+        ("_____5__6", 6),
     ],
 )
 def test_trailing_id(spark, key, expected):
@@ -123,7 +126,7 @@ def test_trailing_id(spark, key, expected):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("key", ["x", "u__", "a___5", "u__5.5", "u__99999999999999999999", "", None])
+@pytest.mark.parametrize("key", ["x", "u__", "a___5", "a_____5", "a__5_", "u__5.5", "u__99999999999999999999", "", None])
 def test_bad_key_fails_in_every_session(spark, key, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
