@@ -2,8 +2,10 @@
 
 A message must hold exactly one JSON object. Spark's parser stops at the end
 of the first object and reads an empty text as "no record", so the text is
-parsed as the one element of a list, ``{"one":[<text>]}``: left-over text,
-several objects and empty text then all show up as malformed.
+parsed as the one element of a list, ``{"one":[<text>],"end":true}``: left-over
+text, several objects and empty text then all show up as malformed, or hide the
+end mark. Only left-over text that closes the list and opens another one, as in
+``{..}],"x":[1``, is not seen.
 
 ``inline`` puts the parse behind a Generate node. Later filters on parsed
 fields stay above it, so each message is parsed once however many columns and
@@ -20,17 +22,18 @@ from tallystream.functions.picks import trailing_id
 from tallystream.schemas import PICK_RECORD
 
 _ONE = "__one"
+_END = "__end"
 _BAD = "__bad"
 
 
 def _parse(df: DataFrame, schema: StructType, value: str, mode: str) -> DataFrame:
-    """Append the columns ``__one`` (list of records) and, if permissive, ``__bad``."""
-    root = StructType().add(_ONE, ArrayType(schema))
+    """Append ``__one`` (list of records), ``__end`` and, if permissive, ``__bad``."""
+    root = StructType().add(_ONE, ArrayType(schema)).add(_END, "boolean")
     options = {"mode": mode, "allowSingleQuotes": "false"}
     if mode == "PERMISSIVE":
         root = root.add(_BAD, StringType())
         options["columnNameOfCorruptRecord"] = _BAD
-    text = F.concat(F.lit('{"%s":[' % _ONE), F.col(value), F.lit("]}"))
+    text = F.concat(F.lit('{"%s":[' % _ONE), F.col(value), F.lit('],"%s":true}' % _END))
     return df.select("*", F.inline(F.array(F.from_json(text, root, options))))
 
 
@@ -40,7 +43,8 @@ def _record() -> Column:
 
 def _single() -> Column:
     """True if the text held one object."""
-    return F.coalesce((F.size(_ONE) == 1) & _record().isNotNull(), F.lit(False))
+    single = (F.size(_ONE) == 1) & _record().isNotNull() & F.col(_END)
+    return F.coalesce(single, F.lit(False))
 
 
 def _missing(value: str, required: Iterable[str]) -> Column:
@@ -117,23 +121,27 @@ def quarantine(
     value: str = "value",
     required: Iterable[str] = (),
     corrupt: str = "corrupt_record",
+    reason: str | None = None,
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Quarantine profile of F2: no message fails the query.
 
     Good messages have typed fields and a null ``corrupt`` column. Bad ones
     have null fields and their text in ``corrupt``, so that a ``where`` on that
-    column splits the stream. Null texts carry no row.
+    column splits the stream. ``reason`` names a column for why: ``malformed``
+    or ``missing field``. Null texts carry no row.
     """
     parsed = _parse(df, schema, value, "PERMISSIVE")
     parsed = parsed.where(F.col(_ONE).isNotNull() | F.col(_BAD).isNotNull())
     required = list(required)
-    good = F.col(_BAD).isNull() & _single()
+    why = F.when(F.col(_BAD).isNotNull() | ~_single(), "malformed")
     if required:
-        good = good & ~_missing(value, required)
-    parsed = parsed.withColumn("__good", good)
+        why = why.when(_missing(value, required), "missing field")
+    parsed = parsed.withColumn("__why", why)
+    good = F.col("__why").isNull()
     return parsed.select(
         *keep,
-        *(F.when(F.col("__good"), _record()[n]).alias(n) for n in schema.fieldNames()),
-        F.when(~F.col("__good"), F.col(value)).alias(corrupt),
+        *(F.when(good, _record()[n]).alias(n) for n in schema.fieldNames()),
+        F.when(~good, F.col(value)).alias(corrupt),
+        *([] if reason is None else [F.col("__why").alias(reason)]),
     )

@@ -126,20 +126,19 @@ def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strict_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """messages that pass and fail under the lenient and the strict policy."""
-    messages = views.flawed_messages(views.events(spark, sf_dir))
-    lenient = quarantine(messages, PRINT_SINK, keep=["event_type", "value"])
-    strict = quarantine(
-        lenient.select("event_type", "value", F.col("corrupt_record").alias("lenient_bad")),
+    parsed = quarantine(
+        views.flawed_messages(views.events(spark, sf_dir)),
         PRINT_SINK,
         required=PRINT_SINK.fieldNames(),
-        keep=["event_type", "lenient_bad"],
+        reason="reason",
+        keep=["event_type"],
     )
-    bad, strict_bad = F.col("lenient_bad"), F.col("corrupt_record")
-    return strict.groupBy("event_type").agg(
-        F.count_if(bad.isNull()).alias("lenient_good"),
-        F.count_if(bad.isNotNull()).alias("lenient_bad"),
-        F.count_if(strict_bad.isNull()).alias("strict_good"),
-        F.count_if(strict_bad.isNotNull()).alias("strict_bad"),
+    malformed = F.coalesce(F.col("reason") == "malformed", F.lit(False))
+    return parsed.groupBy("event_type").agg(
+        F.count_if(~malformed).alias("lenient_good"),
+        F.count_if(malformed).alias("lenient_bad"),
+        F.count_if(F.col("reason").isNull()).alias("strict_good"),
+        F.count_if(F.col("reason").isNotNull()).alias("strict_bad"),
     )
 
 

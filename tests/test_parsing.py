@@ -1,5 +1,8 @@
 """What the parse policies accept, refuse and set aside."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -32,6 +35,9 @@ MALFORMED = [
     '{"a":1,"b":"x"} more',
     '{"a":1,"b":"x"}{"a":2,"b":"y"}',
     '{"a":1,"b":"x"},{"a":2,"b":"y"}',
+    '{"a":1,"b":"x"}]}',
+    '{"a":1,"b":"x"},',
+    '{"a":1,"b":"x"}]',
     "{'a':1,'b':'x'}",
     '{"a":"7","b":"x"}',
     '{"a":7.0,"b":"x"}',
@@ -176,3 +182,65 @@ def test_columns_are_matched_by_name(spark):
     )
     table = json_table(texts(spark, text), RIDE_TABLE, message_schema=RIDE_MESSAGE, strict=True)
     assert rows(table) == [(1, 4, True, 1.5, 2.5, 3, "t")]
+
+
+def _by_hand(text):
+    """What a strict reader of (a int, b text) makes of a text; None if it is bad."""
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return None
+    if type(found) is not dict:
+        return None
+    a, b = found.get("a"), found.get("b")
+    if not (a is None or type(a) is int and -(2**31) <= a < 2**31):
+        return None
+    if not (b is None or type(b) is str):
+        return None
+    return (a, b)
+
+
+def _texts(count):
+    """Messages with random changes of one to three characters."""
+    dice = random.Random(7)
+    starts = [
+        '{"a":1,"b":"x"}',
+        '{"b":"y z","a":-20,"c":[1,{"d":null}]}',
+        ' {"a" : null , "b":"\\u00e9\\n"} ',
+        '{"c":{"a":5},"b":null}',
+    ]
+    marks = '{}[],:"ab1- \\tn\'.'
+    for _ in range(count):
+        text = list(dice.choice(starts))
+        for _ in range(dice.randint(1, 3)):
+            spot = dice.randrange(len(text))
+            text[spot : spot + dice.randint(0, 1)] = dice.choice(marks) if dice.random() < 0.7 else ""
+        yield "".join(text)
+
+
+def test_damaged_messages_are_read_as_by_a_strict_reader(spark):
+    damaged = sorted(set(_texts(4000)))
+    df = spark.createDataFrame([(t,) for t in damaged], "value string")
+    found = quarantine(df, SCHEMA, keep=["value"]).collect()
+    assert len(found) == len(damaged)
+    different = []
+    for row in found:
+        expected = _by_hand(row.value)
+        mine = None if row.corrupt_record is not None else (row.a, row.b)
+        if mine != expected:
+            different.append((row.value, mine, expected))
+    assert different == []
+    good = [t for t in damaged if _by_hand(t) is not None]
+    assert 100 < len(good) < len(damaged)
+    strict_df = spark.createDataFrame([(t,) for t in good], "value string")
+    assert sorted(rows(parse_messages(strict_df, SCHEMA)), key=repr) == sorted(
+        (_by_hand(t) for t in good), key=repr
+    )
+    keys = [set(json.loads(t)) for t in good]
+    reasons = quarantine(
+        strict_df, SCHEMA, required=["a", "b"], reason="why", keep=["value"]
+    ).collect()
+    for row in reasons:
+        missing = not {"a", "b"} <= set(json.loads(row.value))
+        assert row.why == ("missing field" if missing else None)
+    assert any({"a", "b"} <= k for k in keys)
