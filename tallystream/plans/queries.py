@@ -7,7 +7,13 @@ They write below the shared folder of ``scratch_dir``.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.functions import parse_picks, quarantine, stats_json, to_messages
+from tallystream.functions import (
+    parse_picks,
+    quarantine,
+    stats_json,
+    to_messages,
+    trailing_id,
+)
 from tallystream.operators import (
     contributions,
     counters_to_json,
@@ -38,9 +44,9 @@ from tallystream.streaming.jobs import (
     copy_job,
     counters_writer,
     each_batch,
+    totals_as_counters,
     totals_job,
     totals_writer,
-    totals_as_counters,
 )
 from tallystream.streaming.ledger import Ledger, folder_bytes
 from tallystream.streaming.processing_time import (
@@ -162,11 +168,9 @@ def user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_stats_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users who only bet in another currency get a row of zeros."""
-    rows = views.events(spark, sf_dir)
-    other = F.when(F.col("user_id") % 4 == 0, 331).otherwise(333)
-    picks = views.picks(rows.withColumn("event_id", F.lit(1))).drop("currency_code")
-    picks = picks.withColumn("user_id", F.element_at(F.split("user_fkey", "__"), -1).cast("bigint"))
-    return picks.withColumn("currency_code", other).transform(contributions).transform(user_totals)
+    currency = F.when(trailing_id(F.col("user_fkey")) % 4 == 0, 331).otherwise(333)
+    picks = _picks(spark, sf_dir).withColumn("currency_code", currency)
+    return picks.transform(contributions).transform(user_totals)
 
 
 def user_stats_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

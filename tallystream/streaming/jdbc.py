@@ -62,6 +62,7 @@ class JdbcTarget:
     retries: int = 5
     pause: float = 1.0
     partitions: int = 16
+    fence_ready: bool = field(default=False, init=False)
 
     @property
     def staging(self) -> str:
@@ -125,7 +126,9 @@ class JdbcTarget:
                 time.sleep(self.pause)
 
     def is_done(self, query_id: str, batch_id: int) -> bool:
-        self._transaction(FENCE_TABLE)
+        if not self.fence_ready:
+            self._transaction(FENCE_TABLE)
+            self.fence_ready = True
         connection = self.connect()
         try:
             cursor = connection.cursor()
@@ -214,8 +217,9 @@ class CounterTarget(JdbcTarget):
         fresh = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = new_attempt(query_id, batch_id)
-            delta = counters_to_json(fresh)
-            self.stage(insert_defaults(delta), touched)
+            users = fresh.select("user_id").distinct()
+            no_map = F.lit(None).cast("string").alias("general_stats")
+            self.stage(insert_defaults(users.select("user_id", no_map)), touched)
             entries = fresh.select(
                 "user_id", "key", F.col("total").cast("string").alias("value")
             )

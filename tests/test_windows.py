@@ -138,3 +138,33 @@ def test_windows_as_messages(spark, folder):
             '"window_end":"2024-01-01T00:00:30.000Z","total_risk_amount":3.0}',
         )
     ]
+
+
+def test_open_windows_survive_a_restart(spark, folder):
+    """A job stopped with an open window emits it after the restart, once."""
+    source, table = f"{folder}/in", f"{folder}/out"
+
+    def start():
+        return window_job(
+            spark.readStream.text(source),
+            lambda df: table_writer(df, table),
+            "restarted",
+            f"{folder}/checkpoints",
+            size="8 seconds",
+            every="500 milliseconds",
+        )
+
+    texts(spark, pick("u__1", 5)).coalesce(1).write.text(source)
+    first = start()
+    deadline = time.time() + 60
+    while time.time() < deadline and not (first.lastProgress and first.lastProgress.batchId >= 0):
+        time.sleep(0.1)
+    first.stop()
+    texts(spark, pick("u__1", 9), pick("u__2", 1)).coalesce(1).write.mode("append").text(source)
+    second = start()
+    assert second.id == first.id
+    wait_closed(second, size_seconds=8, timeout=90)
+    sums = {}
+    for row in spark.read.parquet(table).collect():
+        sums[row.user_fkey] = sums.get(row.user_fkey, 0) + row.total_risk_amount
+    assert sums == {"u__1": 14.0, "u__2": 1.0}
