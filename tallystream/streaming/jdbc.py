@@ -109,9 +109,11 @@ class JdbcTarget:
         self.commit(attempt, query_id, batch_id)
 
     def commit(self, attempt: str, query_id: str, batch_id: int) -> None:
-        """Step 2. A failed transaction is repeated; the fence makes that safe."""
+        """Step 2. A failed transaction is repeated, unless it did commit."""
         for trial in range(self.retries + 1):
             try:
+                if trial > 0 and self.is_done(query_id, batch_id):
+                    return
                 self._transaction(
                     f"INSERT INTO stream_fence VALUES ('{query_id}', {int(batch_id)})",
                     self.move_sql(attempt),
@@ -119,8 +121,6 @@ class JdbcTarget:
                 )
                 return
             except Exception:
-                if self.is_done(query_id, batch_id):
-                    return
                 if trial == self.retries:
                     raise
                 time.sleep(self.pause)
@@ -171,7 +171,9 @@ def totals_target(
     return JdbcTarget(options, connect, table, columns=columns, **change, **settings)
 
 
-def windows_target(options: dict[str, str], connect: Callable, table: str, **settings) -> JdbcTarget:
+def windows_target(
+    options: dict[str, str], connect: Callable, table: str, **settings
+) -> JdbcTarget:
     """K3: closed windows, appended."""
     settings = {"batch_rows": 1000, **settings}
     columns = ["user_fkey", "window_start", "window_end", "total_risk_amount"]
@@ -232,7 +234,9 @@ class CounterTarget(JdbcTarget):
             fresh.unpersist()
 
 
-def counters_target(options: dict[str, str], connect: Callable, table: str, **settings) -> CounterTarget:
+def counters_target(
+    options: dict[str, str], connect: Callable, table: str, **settings
+) -> CounterTarget:
     """K2 with the columns of a stored user; JSON columns are cast by the database."""
     settings = {"casts": dict.fromkeys(JSON_COLUMNS, "json"), **settings}
     columns = [

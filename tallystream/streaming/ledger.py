@@ -45,7 +45,11 @@ class Ledger:
             earlier = self._folders(spark, query_id, before=batch_id)
             if earlier:
                 rows = self._total(spark.read.parquet(*earlier).unionByName(rows))
-        rows.write.mode("overwrite").parquet(self._folder(query_id, kind, batch_id))
+        (
+            rows.write.mode("overwrite")
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+            .parquet(self._folder(query_id, kind, batch_id))
+        )
         if kind == "fold":
             self._drop_before(spark, query_id, batch_id - self.fold_every)
 
@@ -55,6 +59,8 @@ class Ledger:
         for name in _children(spark, self.root):
             if name.startswith("query-"):
                 folders += self._folders(spark, name.removeprefix("query-"))
+        if not folders:
+            raise FileNotFoundError(f"no complete batch below {self.root}")
         return self._total(spark.read.parquet(*folders))
 
     def _total(self, rows: DataFrame) -> DataFrame:
@@ -83,7 +89,11 @@ class Ledger:
         if before is not None:
             batches = [b for b in batches if b[0] < before]
         start = max((n for n, kind in batches if kind == "fold"), default=-1)
-        return [self._folder(query_id, kind, n) for n, kind in batches if n >= start]
+        return [
+            self._folder(query_id, kind, n)
+            for n, kind in batches
+            if n > start or (n, kind) == (start, "fold")
+        ]
 
     def _drop_before(self, spark: SparkSession, query_id: str, batch_id: int) -> None:
         """Delete folders that an older complete fold has replaced."""

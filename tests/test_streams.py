@@ -132,6 +132,21 @@ def test_folds_bound_the_folders(spark, folder):
         assert len(os.listdir(f"{folder}/table/query-q")) <= 7
 
 
+def test_fold_setting_may_change(spark, folder):
+    """A batch written as a delta and replayed as a fold, or the other way, counts once."""
+    delta = spark.createDataFrame([(1, 1, 10, 1, 0, 0)], ["user_id", *TOTALS])
+    plain, folding = totals_ledger(folder), totals_ledger(folder, fold_every=2)
+    for n, ledgers in enumerate([(plain,), (plain, folding), (folding,), (folding, plain), (plain,)]):
+        for ledger in ledgers:
+            ledger.add(delta, "q", n)
+        assert rows(plain.read(spark)) == [(1, n + 1, 10 * (n + 1), n + 1, 0, 0)]
+
+
+def test_empty_ledger(spark, folder):
+    with pytest.raises(FileNotFoundError, match="no complete batch"):
+        totals_ledger(folder).read(spark)
+
+
 def test_first_values_stay(spark, folder):
     ledger = Ledger(f"{folder}/table", ["user_id"], ["n"], firsts=["created"], fold_every=2)
     for n in range(5):
