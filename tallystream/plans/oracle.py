@@ -202,6 +202,7 @@ ORACLE_SQL: dict[str, str] = {
     "tumble_fluent": _tumble("30 seconds"),
     "tumble_sql_hour": _tumble("1 hour"),
     "tumble_fluent_day": _tumble("1 day"),
+    "tumble_messages": _tumble("30 seconds"),
     "tumble_stream": _tumble("30 seconds", _BIGINT),
     "windows_append": _CLOSED,
     "windows_append_sql": _CLOSED,

@@ -117,7 +117,7 @@ def ride_copy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "ride_copy")
     copy_job(
         messages,
-        lambda df, sink: file_topic_writer(df, f"{work}/topic", sink),
+        lambda df, sink: file_topic_writer(df, f"{work}/topic", sink, compression="gzip"),
         "ride_copy",
         f"{work}/checkpoints",
         available_now=True,
@@ -227,9 +227,9 @@ def user_stats_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.pick_messages(rows)
         .select("value")
         .write.option("maxRecordsPerFile", per_file)
-        .text(f"{work}/topic")
+        .text(f"{work}/topic", compression="gzip")
     )
-    batch_bytes = min(max(folder_bytes(spark, f"{work}/topic") // 4, 1), 200 << 30)
+    batch_bytes = min(max(folder_bytes(spark, f"{work}/topic") // 4, 1), 50 << 30)
     messages = file_topic(spark, f"{work}/topic", max_bytes_per_trigger=batch_bytes)
     ledger = _totals_ledger(f"{work}/table", fold_every=3)
     totals_job(
@@ -369,6 +369,12 @@ def _tumble_fluent(size: str):
     return query
 
 
+def tumble_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window sums as JSON messages, read back as a table."""
+    sums = tumble(_picks(spark, sf_dir), on="ts")
+    return json_table(to_messages(sums), sums.schema, strict=True)
+
+
 def tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 over a stream in any order: window sums of each batch, added by the sink.
 
@@ -431,6 +437,7 @@ QUERIES = {
     "tumble_fluent": _tumble_fluent("30 seconds"),
     "tumble_sql_hour": _tumble_sql("1 hour"),
     "tumble_fluent_day": _tumble_fluent("1 day"),
+    "tumble_messages": tumble_messages,
     "tumble_stream": tumble_stream,
     "windows_append": _windows_append(closing_windows),
     "windows_append_sql": _windows_append(closing_windows_sql),

@@ -43,11 +43,12 @@ def kafka_batch_write(
 
 
 def file_topic_writer(
-    df: DataFrame, path: str, schema: StructType | None = None
+    df: DataFrame, path: str, schema: StructType | None = None, compression: str = "none"
 ) -> DataStreamWriter:
     """JSON messages to text files, one per line."""
     rows = df if schema is None else insert_positional(df, schema)
-    return to_messages(rows).writeStream.format("text").option("path", path)
+    writer = to_messages(rows).writeStream.format("text").option("compression", compression)
+    return writer.option("path", path)
 
 
 def table_writer(df: DataFrame, path: str) -> DataStreamWriter:
