@@ -51,17 +51,23 @@ def _integer(value: Column) -> Column:
 
 
 def counters_to_json(
-    sums: DataFrame, *also: Column, column: str = "general_stats"
+    sums: DataFrame, *also: Column, column: str = "general_stats", together: bool = False
 ) -> DataFrame:
     """A4: the sums of a user as one JSON object, keys in order.
 
     Its input has one row per user and key, so what is collected for a user is
     its own map, the size of the document that is written. ``also`` are further
     aggregates per user.
+
+    A user's keys come from different tasks, so lists started before the shuffle
+    would hold about one entry each and cost more than the rows: the rows are
+    shuffled instead. ``together`` says that the rows of a user already are in
+    one partition.
     """
+    rows = sums if together else sums.repartition("user_id")
     entries = F.array_sort(F.collect_list(F.struct("key", "total")))
     text = F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
-    return sums.groupBy("user_id").agg(text.alias(column), *also)
+    return rows.groupBy("user_id").agg(text.alias(column), *also)
 
 
 def touched_only(stored: DataFrame, delta: DataFrame) -> DataFrame:

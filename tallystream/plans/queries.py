@@ -324,7 +324,7 @@ def general_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{work}/checkpoints",
         available_now=True,
     ).awaitTermination()
-    return counters_to_json(ledger.read(spark))
+    return counters_to_json(ledger.read(spark, together="user_id"), together=True)
 
 
 def user_stats_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,7 +345,8 @@ def user_stats_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{work}/checkpoints",
         available_now=True,
     ).awaitTermination()
-    stored = counters_to_json(ledger.read(spark), F.min("created").alias("created"))
+    rows = ledger.read(spark, together="user_id")
+    stored = counters_to_json(rows, F.min("created").alias("created"), together=True)
     return insert_defaults(stored, F.col("created")).drop("created", "updated")
 
 

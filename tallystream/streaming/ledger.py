@@ -53,15 +53,22 @@ class Ledger:
         if kind == "fold":
             self._drop_before(spark, query_id, batch_id - self.fold_every)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The stored rows, one per key. Fails if no batch has been written."""
+    def read(self, spark: SparkSession, together: str | None = None) -> DataFrame:
+        """The stored rows, one per key. Fails if no batch has been written.
+
+        ``together`` names one of the keys by which the caller groups next: rows
+        that share it are then put in one partition by the one shuffle of this
+        read. They are aggregated per batch already, so there are as many as the
+        group has keys, times the folders.
+        """
         folders = []
         for name in _children(spark, self.root):
             if name.startswith("query-"):
                 folders += self._folders(spark, name.removeprefix("query-"))
         if not folders:
             raise FileNotFoundError(f"no complete batch below {self.root}")
-        return self._total(spark.read.parquet(*folders))
+        rows = spark.read.parquet(*folders)
+        return self._total(rows if together is None else rows.repartition(together))
 
     def _total(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(

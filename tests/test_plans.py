@@ -80,3 +80,13 @@ def test_each_message_is_parsed_once(spark, folder):
 
 def test_merge_parses_each_side_once(spark, sf_dir):
     assert plan(driver.queries()["general_stats_merge"](spark, sf_dir)).count("from_json(") == 3
+
+
+def test_maps_are_collected_after_one_shuffle(spark, sf_dir):
+    """Rows are shuffled by user once, and lists are not shuffled."""
+    stored = plan(driver.queries()["general_stats_upsert"](spark, sf_dir))
+    assert stored.count("Exchange") == 1
+    assert "Exchange hashpartitioning(user_id" in stored
+    fresh = plan(driver.queries()["general_stats"](spark, sf_dir))
+    assert fresh.count("Exchange") == 2
+    assert re.search(r"collect_list.*\n.*partial_collect_list.*\n.*Exchange", fresh)
