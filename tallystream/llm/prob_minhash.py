@@ -205,13 +205,8 @@ def compare(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keys, leaders = (part.column(c).to_pylist() for c in ("key", "leader"))
                 raws = dict(zip(keys, part.column("raw").to_pylist()))
                 raws.update(zip(leaders, part.column("led").to_pylist()))
-                number = {k: i for i, k in enumerate(raws)}
-                found = _scores(
-                    list(raws.values()),
-                    np.array([number[k] for k in keys]),
-                    np.array([number[k] for k in leaders]),
-                    least,
-                )
+                sets = _sets(raws)
+                found = [_score(sets[a], sets[b], least) for a, b in zip(keys, leaders)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), part.column("leader"), pa.array(found, pa.float64())],
                     ["key", "leader", "similarity"],
@@ -222,25 +217,32 @@ def compare(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     )
 
 
-def _scores(raws: list[bytes], left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
-    text, shingle, weight = weighted_shingles(*word_hashes(raws))
-    _, code = np.unique(shingle, return_inverse=True)
-    at = np.searchsorted(text, np.arange(len(raws) + 1))
-    share = weight / np.bincount(text, weight, len(raws))[text]
-    theirs = np.zeros(code.max() + 1)
-    found = np.zeros(len(left))
-    for leader in np.unique(right):
-        s, e = at[leader], at[leader + 1]
-        theirs[code[s:e]] = share[s:e]
-        rows = np.flatnonzero(right == leader)
-        for row, x in zip(rows, left[rows]):
-            mine = slice(at[x], at[x + 1])
-            found[row] = np.minimum(share[mine], theirs[code[mine]]).sum()
-        theirs[code[s:e]] = 0
-        for row in rows[found[rows] >= least - 1e-9]:
-            mine, other = slice(at[left[row]], at[left[row] + 1]), slice(s, e)
-            found[row] = similarity((shingle[mine], weight[mine]), (shingle[other], weight[other]))
-    return found
+# Per worker process: weighted sets of the texts last seen, by key.
+_SETS: dict[bytes, tuple[np.ndarray, ...]] = {}
+SETS_MEMBERS = 1_500_000  # members of all sets that are kept
+
+
+def _sets(raws: dict[bytes, bytes]) -> dict[bytes, tuple[np.ndarray, ...]]:
+    """(shingles, weights, weights that add up to 1) of texts."""
+    new = [k for k in raws if k not in _SETS]
+    text, shingle, weight = weighted_shingles(*word_hashes([raws[k] for k in new]))
+    at = np.searchsorted(text, np.arange(len(new) + 1))
+    out = {k: _SETS[k] for k in raws if k in _SETS}
+    if sum(len(v[0]) for v in _SETS.values()) + len(text) > SETS_MEMBERS:
+        _SETS.clear()
+    for k, s, e in zip(new, at[:-1], at[1:]):
+        part = weight[s:e].copy()
+        out[k] = shingle[s:e].copy(), part, part / part.sum()
+    if len(text) <= SETS_MEMBERS:
+        _SETS.update((k, out[k]) for k in new)
+    return out
+
+
+def _score(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], least: float) -> float:
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = b[0][at] == a[0]
+    bound = float(np.minimum(a[2], b[2][at])[both].sum())
+    return similarity(a[:2], b[:2]) if bound >= least - 1e-9 else bound
 
 
 def _leaders(members: DataFrame, leaders: int) -> DataFrame:
@@ -260,24 +262,26 @@ def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFram
     roots, leaders, far = None, 1, 1 - least
     members = members.withColumn("root", F.col("key"))
     while True:
-        led = members.join(_leaders(members, leaders), "band").filter("leader < key").checkpoint()
+        first = _leaders(members, leaders).checkpoint()
+        led = members.join(first, "band").filter("leader < key")
         pairs = led.filter("root != led_root").select("key", "leader").distinct()
         scored = compare(pairs, texts, least).checkpoint()
         linked = scored.filter(F.col("similarity") >= least)
-        if leaders > 1:
-            linked = _renamed(linked, roots)
-        new = components(linked.select("key", "leader").distinct())
-        roots = new if roots is None else _followed(roots, new)
+        if roots is None:
+            roots = components(linked.select("key", "leader").distinct())
+        elif not linked.isEmpty():
+            roots = _followed(roots, components(_renamed(linked, roots).distinct()))
 
         if leaders == 1:
-            # Distances to the leader decide who can still have an unseen link.
+            # Distances to the leader decide who can still have an unseen link. Where the
+            # bound stands for the similarity, it only lets more stay.
             away = led.join(scored, ["key", "leader"])
             away = away.select("band", "key", (1 - F.col("similarity")).alias("d"))
             nearest = F.min(F.when(F.col("d") > far, F.col("d"))).alias("nearest")
             loose = away.groupBy("band").agg(nearest).filter("nearest IS NOT NULL")
             left = away.join(loose, "band").filter(F.col("d") >= F.col("nearest") - far - 1e-9)
         else:
-            gone = led.select("band", F.col("leader").alias("key")).distinct()
+            gone = first.select("band", F.col("leader").alias("key"))
             left = members.join(gone, ["band", "key"], "left_anti")
         left = left.select("band", "key").join(roots, "key", "left")
         left = left.withColumn("root", F.coalesce("root", "key")).checkpoint()
