@@ -11,8 +11,8 @@ plain Jaccard similarity where no shingle repeats.
 Equal texts are joined first, by a 128-bit digest of their words. Signatures are
 cut into bands; texts that share a band are compared in full, by J_P.
 
-No pairs within a band are listed. In each round a band's first text, its
-leader, is compared with the others, and goes. 1 - J_P is a metric, so a text at
+No pairs within a band are listed. In each round a band's leader, the text that
+meets most others in all its bands, is compared with the others, and goes. 1 - J_P is a metric, so a text at
 distance d from the leader can link only to texts between d - 0.2 and d + 0.2
 from it: a band in which all are links of its leader is done, and in others only
 texts stay that can still link to one that is not. Later rounds take four times
@@ -43,7 +43,7 @@ SIMILARITY = 0.8
 BANDS = 25
 BAND_ROWS = 5
 BROADCAST_KEYS = 500_000  # keys up to which they are broadcast, 16 bytes each
-BROADCAST_BYTES = 32 << 20  # bytes of texts up to which they are broadcast
+BROADCAST_BYTES = 10 << 20  # bytes of texts up to which they are broadcast, Spark's default
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GOLDEN = np.uint64(0xD1B54A32D192ED03)
@@ -246,24 +246,39 @@ def _score(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], least: float) -
 
 
 def _leaders(members: DataFrame, leaders: int) -> DataFrame:
-    """The first texts of each band."""
+    """The first texts of each band, by rank, then key."""
+    order = F.struct("rank", "key")
     if leaders == 1:
-        first = F.min(F.struct("key", "root")).alias("first")
-        return members.groupBy("band").agg(first).select(
-            "band", F.col("first.key").alias("leader"), F.col("first.root").alias("led_root")
+        first = members.groupBy("band").agg(F.min(F.struct("rank", "key", "root")).alias("first"))
+        return first.select(
+            "band",
+            F.col("first.key").alias("leader"),
+            F.col("first.root").alias("led_root"),
+            F.struct("first.rank", "first.key").alias("led_order"),
         )
-    place = F.row_number().over(Window.partitionBy("band").orderBy("key"))
+    place = F.row_number().over(Window.partitionBy("band").orderBy("rank", "key"))
     first = members.withColumn("place", place).filter(F.col("place") <= leaders)
-    return first.select("band", F.col("key").alias("leader"), F.col("root").alias("led_root"))
+    return first.select(
+        "band",
+        F.col("key").alias("leader"),
+        F.col("root").alias("led_root"),
+        order.alias("led_order"),
+    )
 
 
 def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(key, root) of texts with links: their class by all links within bands."""
+    """(key, root) of texts with links: their class by all links within bands.
+
+    ``members``: (band, key, n), n being the number of texts in the band. The texts
+    that meet most others lead: they are in the middle of a group of copies.
+    """
     roots, leaders, far = None, 1, 1 - least
-    members = members.withColumn("root", F.col("key"))
+    rank = members.groupBy("key").agg((-F.sum("n")).alias("rank"))
+    members = members.join(rank, "key").select("band", "key", "rank", F.col("key").alias("root"))
+    members = members.checkpoint()
     while True:
         first = _leaders(members, leaders).checkpoint()
-        led = members.join(first, "band").filter("leader < key")
+        led = members.join(first, "band").filter("led_order < struct(rank, key)")
         pairs = led.filter("root != led_root").select("key", "leader").distinct()
         scored = compare(pairs, texts, least).checkpoint()
         linked = scored.filter(F.col("similarity") >= least)
@@ -276,14 +291,14 @@ def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFram
             # Distances to the leader decide who can still have an unseen link. Where the
             # bound stands for the similarity, it only lets more stay.
             away = led.join(scored, ["key", "leader"])
-            away = away.select("band", "key", (1 - F.col("similarity")).alias("d"))
+            away = away.select("band", "key", "rank", (1 - F.col("similarity")).alias("d"))
             nearest = F.min(F.when(F.col("d") > far, F.col("d"))).alias("nearest")
             loose = away.groupBy("band").agg(nearest).filter("nearest IS NOT NULL")
             left = away.join(loose, "band").filter(F.col("d") >= F.col("nearest") - far - 1e-9)
         else:
             gone = first.select("band", F.col("leader").alias("key"))
             left = members.join(gone, ["band", "key"], "left_anti")
-        left = left.select("band", "key").join(roots, "key", "left")
+        left = left.select("band", "key", "rank").join(roots, "key", "left")
         left = left.withColumn("root", F.coalesce("root", "key")).checkpoint()
         # A band within one class has no link left that would change a class.
         mixed = left.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
@@ -350,7 +365,7 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
     texts = texts.checkpoint()
     exploded = texts.select("key", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    shared = exploded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = exploded.join(shared, "band").checkpoint()
     raws = candidate_texts(docs, texts, members).checkpoint()
     held = raws.agg(F.sum(F.length("raw") + 64)).first()[0] or 0

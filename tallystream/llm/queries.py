@@ -30,10 +30,15 @@ URL_RULES = (
     ("allow", "org/fr/"),
 )
 TOKENIZER = "byte_bpe_50k.json"
+BATCH_ROWS = 1024
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the workers, once per context."""
+    """Sends this package to the workers, once per context, and bounds their batches.
+
+    Texts may be long: batches of the default number of rows would need much memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_tallystream_shipped", False):
         return
