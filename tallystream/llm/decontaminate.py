@@ -30,6 +30,9 @@ from tallystream.llm.texts import raw_text, slices, words
 WINDOW = 10
 SHARD_WORDS = 200_000
 
+# Columns that are added to a document's own while it passes through the shards.
+TEXT, SPANS, ITEMS = "__raw", "__spans", "__items"
+
 
 class Automaton:
     """Generalised suffix automaton of word sequences, for one shard of items.
@@ -209,22 +212,22 @@ def automata(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHAR
 
 
 def _passes(frame: DataFrame, found: list) -> DataFrame:
-    """Adds ``spans`` (starts and ends in words, flat) and ``items`` of every shard."""
+    """Adds hit spans (starts and ends in words, flat) and items of every shard."""
     frame = frame.select(
         "*",
-        F.lit(None).cast("array<int>").alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"),
+        F.lit(None).cast("array<int>").alias(SPANS),
+        F.lit(None).cast("array<string>").alias(ITEMS),
     )
     for automaton in found:
 
         def run(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
             machine = automaton.value
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, TEXT):
                     n = part.num_columns
                     spans, items = [], []
                     texts, before, known = (
-                        part.column(c).to_pylist() for c in ("raw", "spans", "items")
+                        part.column(c).to_pylist() for c in (TEXT, SPANS, ITEMS)
                     )
                     for raw, old, names in zip(texts, before, known):
                         new, more = machine.scan(words(raw))
@@ -248,18 +251,18 @@ def _passes(frame: DataFrame, found: list) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: doc_id, n_words, hit stretches (words, flat) and items found."""
     frame = _passes(
-        docs.select(F.col("doc_id").cast("long"), raw_text()), automata(benchmark, window)
+        docs.select(F.col("doc_id").cast("long"), raw_text().alias(TEXT)), automata(benchmark, window)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                spans = [x or [] for x in part.column("spans").to_pylist()]
-                items = [x or [] for x in part.column("items").to_pylist()]
+            for part in slices(batch, TEXT):
+                spans = [x or [] for x in part.column(SPANS).to_pylist()]
+                items = [x or [] for x in part.column(ITEMS).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([len(words(x)) for x in part.column("raw").to_pylist()], pa.int64()),
+                        pa.array([len(words(x)) for x in part.column(TEXT).to_pylist()], pa.int64()),
                         pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
                         pa.array([len(x) for x in items], pa.int64()),
                         pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
@@ -302,14 +305,14 @@ def decontaminate(
     columns stay; ``n_chars``, if there, is the new length of a changed text.
     """
     names, schema = docs.columns, docs.schema
-    frame = _passes(docs.select("*", raw_text().alias("raw")), automata(benchmark, window))
+    frame = _passes(docs.select("*", raw_text().alias(TEXT)), automata(benchmark, window))
     least = min(longest, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, TEXT):
                 kept, texts, sizes = [], [], []
-                raws, spans = (part.column(c).to_pylist() for c in ("raw", "spans"))
+                raws, spans = (part.column(c).to_pylist() for c in (TEXT, SPANS))
                 olds = part.column("text").to_pylist()
                 counts = part.column("n_chars").to_pylist() if "n_chars" in names else olds
                 for raw, hit, old, count in zip(raws, spans, olds, counts):

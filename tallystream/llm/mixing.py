@@ -151,13 +151,13 @@ def _plan(
     sizes = docs.select("source", n_words(F.col("text")).alias("size"), chance(seed).alias("hash"))
     sizes = sizes.checkpoint()
     found = bounds(sizes, source_targets(sizes, weights, share_percent, epochs)).checkpoint()
-    found = found.withColumnRenamed("source", "of")
+    found = found.select(*(F.col(c).alias(f"__{c}") for c in found.columns))  # not a document's
     return F.broadcast(found) if found.count() <= BROADCAST_SOURCES else found
 
 
 def _repeats(seed: int) -> Column:
-    more = (chance(seed) <= F.col("bound")) | chance(seed).eqNullSafe(F.col("extra"))
-    return F.col("whole") + F.when(more, 1).otherwise(0)
+    more = (chance(seed) <= F.col("__bound")) | chance(seed).eqNullSafe(F.col("__extra"))
+    return F.col("__whole") + F.when(more, 1).otherwise(0)
 
 
 def mix_plan(
@@ -170,11 +170,11 @@ def mix_plan(
     """Per document: doc_id, size, source_size, target of its source, and words taken."""
     plan = _plan(docs, weights, share_percent, epochs, seed)
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    return rows.join(plan, rows["source"].eqNullSafe(plan["of"])).select(
+    return rows.join(plan, rows["source"].eqNullSafe(plan["__source"])).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "size",
-        "source_size",
-        "target",
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
         (F.col("size") * _repeats(seed)).cast("long").alias("taken"),
     )
 
@@ -189,6 +189,6 @@ def mix_documents(
     """The mix: every document as often as it is read, numbered from 1 in ``repetition``."""
     names = docs.columns
     plan = _plan(docs, weights, share_percent, epochs, seed)
-    read = docs.join(plan, docs["source"].eqNullSafe(plan["of"])).filter(_repeats(seed) > 0)
+    read = docs.join(plan, docs["source"].eqNullSafe(plan["__source"])).filter(_repeats(seed) > 0)
     times = F.sequence(F.lit(1), _repeats(seed).cast("int"))
     return read.select(*(docs[c] for c in names), F.explode(times).alias("repetition"))

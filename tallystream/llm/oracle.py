@@ -1,5 +1,34 @@
-"""SQL of the registered queries that SQL can express, for DuckDB."""
+"""SQL of the registered queries that SQL can express, for DuckDB.
+
+The other queries are tested against brute force: their methods (hashes, trained
+weights, automata, tokenizers) have no SQL form.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_url_filter": """
+WITH rest AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                         THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), parts AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), rules (verdict, rule, rule_host, rule_path) AS (
+    VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+           ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+), best AS (
+    SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM parts) urls
+    JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+              AND starts_with(path, rule_path)
+    GROUP BY host, path
+)
+SELECT page_id, parts.host AS host, parts.path AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best ON parts.host = best.host AND parts.path = best.path
+""",
+}

@@ -55,7 +55,8 @@ def weighted_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     text = np.repeat(np.arange(len(counts)), counts)
     rolled = hashes.copy()
     for k in range(1, SHINGLE):
-        rolled[: n - k] = rolled[: n - k] * _BASE + hashes[k:]
+        m = max(0, n - k)
+        rolled[:m] = rolled[:m] * _BASE + hashes[n - m :]
     last = np.repeat(bounds[1:], counts) - np.arange(n) < SHINGLE  # fewer words from here on
     full = np.repeat(counts >= SHINGLE, counts)
     short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
