@@ -220,7 +220,7 @@ def compare(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 # Per worker process: weighted sets of the texts last seen, by key.
 _SETS: dict[bytes, tuple[np.ndarray, ...]] = {}
-SETS_MEMBERS = 1_500_000  # members of all sets that are kept
+SETS_MEMBERS = 1_000_000  # members of all sets that are kept
 
 
 def _sets(raws: dict[bytes, bytes]) -> dict[bytes, tuple[np.ndarray, ...]]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that are worked on at once.
-SLICE = 2 << 20
+SLICE = 512 << 10
 
 # A-Z become a-z, digits, a-z and bytes above 0x7F stay, all else is a gap.
 _WORD_BYTES = bytes(
@@ -77,7 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _STEP = np.uint64(0x100000001B3)  # odd, so that it has an inverse modulo 2^64
 _BACK = np.uint64(pow(0x100000001B3, -1, 1 << 64))
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 _POWERS: list[np.ndarray] = []
 
 
