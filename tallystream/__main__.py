@@ -3,9 +3,9 @@
     totals    running totals per user, added to a stored table
     counters  the totals as one JSON counter map per user, merged into a table
     windows   stake per user in tumbling processing-time windows
-    print     two columns of each pick, to the console
+    print     two columns of each pick, as lines of JSON
     copy      ride messages to another topic, strict on missing fields
-    tail      every field of each record, to the console
+    tail      every field of each record, as lines of JSON
     publish   rows of a parquet table as keyed JSON messages, once
 
 Messages come from a Kafka topic (``--servers``, ``--topic``) or from text files
@@ -22,7 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystream.functions.encoding import to_messages
 from tallystream.operators.totals import TOTALS
 from tallystream.schemas import RAW_RECORD
-from tallystream.sources.topics import file_topic, kafka_options, kafka_records, kafka_values
+from tallystream.sources.topics import (
+    MAX_FILE_AGE,
+    file_topic,
+    kafka_options,
+    kafka_records,
+    kafka_values,
+)
 from tallystream.streaming import jobs
 from tallystream.streaming.jdbc import counters_target, totals_target, windows_target
 from tallystream.streaming.ledger import Ledger
@@ -58,6 +64,8 @@ def options() -> argparse.ArgumentParser:
     parser.add_argument("--table", help="table to write to")
     parser.add_argument("--name", help="name of the query, default the job")
     parser.add_argument("--checkpoints", help="folder shared by all executors")
+    parser.add_argument("--max-offsets", type=int, help="messages of a batch from a topic, at most")
+    parser.add_argument("--max-bytes", type=int, help="bytes of a batch from files, about")
     parser.add_argument("--every", help="trigger interval")
     parser.add_argument("--window", default="30 seconds")
     parser.add_argument("--sql", action="store_true", help="windows by SQL")
@@ -68,18 +76,22 @@ def options() -> argparse.ArgumentParser:
 
 def messages(spark: SparkSession, args) -> DataFrame:
     if args.files:
-        return file_topic(spark, args.files)
+        return file_topic(spark, args.files, max_bytes_per_trigger=args.max_bytes)
     return kafka_values(spark, _topic(args))
 
 
 def records(spark: SparkSession, args) -> DataFrame:
     if args.files:
-        return spark.readStream.schema(RAW_RECORD).parquet(args.files)
+        reader = spark.readStream.schema(RAW_RECORD).option("maxFileAge", MAX_FILE_AGE)
+        if args.max_bytes:
+            reader = reader.option("maxBytesPerTrigger", args.max_bytes)
+        return reader.parquet(args.files)
     return kafka_records(spark, _topic(args))
 
 
 def _topic(args) -> dict[str, str]:
-    return kafka_options(args.servers, args.topic, args.start or START.get(args.job, "earliest"))
+    start = args.start or START.get(args.job, "earliest")
+    return kafka_options(args.servers, args.topic, start, args.max_offsets)
 
 
 def database(args, make):
@@ -106,7 +118,13 @@ def database(args, make):
 def start(spark: SparkSession, args):
     """The running query of a streaming job."""
     name = args.name or args.job
-    checkpoints = args.checkpoints or jobs.scratch_dir(spark, name)
+    if not args.checkpoints:
+        raise SystemExit("--checkpoints is needed: without it a restart would count again or skip")
+    if args.files and args.start:
+        raise SystemExit("--start is for topics: files are read from the first, once each")
+    if args.job in ("print", "tail") and not args.to_files:
+        raise SystemExit(f"{args.job} needs --to-files")
+    checkpoints = args.checkpoints
     run = {"available_now": args.once}
     if args.every:
         run["every"] = args.every
@@ -140,9 +158,9 @@ def start(spark: SparkSession, args):
             windows=lambda picks: form(picks, size=args.window),
         )
     if args.job == "print":
-        return jobs.project_job(messages(spark, args), name, checkpoints, **run)
+        return jobs.project_job(messages(spark, args), args.to_files, name, checkpoints, **run)
     if args.job == "tail":
-        return jobs.tail_job(records(spark, args), name, checkpoints, **run)
+        return jobs.tail_job(records(spark, args), args.to_files, name, checkpoints, **run)
 
     def copy_writer(df, schema):
         if args.to_files:
@@ -158,7 +176,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "publish":
         table = spark.read.parquet(args.files)
         if args.to_files:
-            to_messages(table).write.text(args.to_files)
+            if args.key:
+                to_messages(table, key=args.key).write.parquet(args.to_files)
+            else:
+                to_messages(table).write.text(args.to_files)
         else:
             kafka_batch_write(table, kafka_writer_options(args.servers, args.to_topic), args.key)
         return

@@ -181,6 +181,7 @@ ORACLE_SQL: dict[str, str] = {
     "pick_table": _TABLE,
     "pick_project": _PROJECT,
     "pick_project_insert": _PROJECT,
+    "print_stream": _PROJECT,
     "pick_contributions": _CONTRIBUTIONS,
     "user_stats": _USER_STATS,
     "user_stats_zero_rows": _ZERO_ROWS,

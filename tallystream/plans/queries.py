@@ -42,13 +42,14 @@ from tallystream.sources import file_topic, json_table, raw_records
 from tallystream.streaming import file_topic_writer, launch, scratch_dir, table_writer
 from tallystream.streaming.jobs import (
     copy_job,
+    project_job,
     counters_writer,
     each_batch,
     totals_as_counters,
     totals_job,
     totals_writer,
 )
-from tallystream.streaming.ledger import Ledger, folder_bytes
+from tallystream.streaming.ledger import Ledger
 from tallystream.streaming.processing_time import (
     closing_windows,
     closing_windows_sql,
@@ -110,6 +111,16 @@ def ride_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_positional(table, RIDE_SINK)
 
 
+def print_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of every message, written as they come."""
+    messages = views.pick_messages(views.events_stream(spark, sf_dir)).select("value")
+    work = scratch_dir(spark, "print")
+    project_job(
+        messages, f"{work}/printed", "print", f"{work}/checkpoints", available_now=True
+    ).awaitTermination()
+    return spark.read.schema(PRINT_SINK).json(f"{work}/printed")
+
+
 def ride_copy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a stream from messages to messages."""
     rides = views.rides(views.events_stream(spark, sf_dir))
@@ -218,23 +229,20 @@ def user_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_stats_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish every pick as a message, read the messages back
-    in several batches, and add up."""
+    """Publish picks as messages, add them up, publish the
+    later ones, and go on from the checkpoint in a second run."""
     work = scratch_dir(spark, "user_stats_from_topic")
     rows = views.events(spark, sf_dir)
-    per_file = min(max(rows.count() // 8, 1), 1_000_000)
-    (
-        views.pick_messages(rows)
-        .select("value")
-        .write.option("maxRecordsPerFile", per_file)
-        .text(f"{work}/topic", compression="gzip")
-    )
-    batch_bytes = min(max(folder_bytes(spark, f"{work}/topic") // 4, 1), 50 << 30)
-    messages = file_topic(spark, f"{work}/topic", max_bytes_per_trigger=batch_bytes)
-    ledger = _totals_ledger(f"{work}/table", fold_every=3)
-    totals_job(
-        messages, ledger.add, "user_stats_from_topic", f"{work}/checkpoints", available_now=True
-    ).awaitTermination()
+    ledger = _totals_ledger(f"{work}/table")
+    for part in (rows.where(_before(CUT)), rows.where(~_before(CUT))):
+        published = views.pick_messages(part).select("value")
+        published.write.mode("append").option("maxRecordsPerFile", 1_000_000).text(
+            f"{work}/topic", compression="gzip"
+        )
+        messages = file_topic(spark, f"{work}/topic", max_bytes_per_trigger=50 << 30)
+        totals_job(
+            messages, ledger.add, "user_stats_from_topic", f"{work}/checkpoints", available_now=True
+        ).awaitTermination()
     return ledger.read(spark)
 
 
@@ -417,6 +425,7 @@ QUERIES = {
     "pick_table": pick_table,
     "pick_project": pick_project,
     "pick_project_insert": pick_project_insert,
+    "print_stream": print_stream,
     "pick_contributions": pick_contributions,
     "user_stats": user_stats,
     "user_stats_zero_rows": user_stats_zero_rows,

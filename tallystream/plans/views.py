@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.encoding import json_text
 from tallystream.functions.picks import user_key
+from tallystream.sources.topics import MAX_FILE_AGE
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,7 @@ def events_stream(
     return (
         spark.readStream.schema(schema)
         .option("maxBytesPerTrigger", max_bytes_per_trigger)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(f"{sf_dir}/events.parque[t]")
     )
 

@@ -68,6 +68,11 @@ def raw_records(records: DataFrame) -> DataFrame:
     )
 
 
+# No file is too old to be read: a topic may be filled late, or from copies with their
+# times kept. The source then remembers all files it has read, in the driver's memory.
+MAX_FILE_AGE = "36500d"
+
+
 def file_topic(
     spark: SparkSession,
     path: str,
@@ -75,7 +80,7 @@ def file_topic(
     max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Text files, one message per line, as a stream of column ``value``."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:

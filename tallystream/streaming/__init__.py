@@ -17,7 +17,8 @@ from tallystream.streaming.processing_time import (
     wait_closed,
 )
 from tallystream.streaming.sinks import (
-    console_writer,
+    lines_writer,
+    preview_writer,
     file_topic_writer,
     kafka_batch_write,
     kafka_writer,
@@ -28,7 +29,8 @@ from tallystream.streaming.sinks import (
 __all__ = [
     "closing_windows",
     "closing_windows_sql",
-    "console_writer",
+    "lines_writer",
+    "preview_writer",
     "copy_job",
     "counters_job",
     "file_topic_writer",

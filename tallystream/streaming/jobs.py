@@ -24,7 +24,7 @@ from tallystream.schemas import PICK_TABLE, PRINT_SINK, RIDE_MESSAGE, RIDE_SINK,
 from tallystream.sources.tables import json_table
 from tallystream.sources.topics import raw_records
 from tallystream.streaming.processing_time import closing_windows
-from tallystream.streaming.sinks import console_writer
+from tallystream.streaming.sinks import lines_writer
 
 EVERY = "5 seconds"
 
@@ -159,12 +159,13 @@ def window_job(
     return launch(writer_of(closed), name, checkpoints, every=every)
 
 
-def project_job(messages: DataFrame, name: str, checkpoints: str, **run) -> StreamingQuery:
-    """Two columns of the pick table to the console."""
+def project_job(
+    messages: DataFrame, path: str, name: str, checkpoints: str, **run
+) -> StreamingQuery:
+    """Two columns of every pick, as lines of JSON."""
     picks = json_table(messages, PICK_TABLE)
-    return launch(
-        console_writer(project(picks, *PRINT_SINK.fieldNames())), name, checkpoints, **run
-    )
+    printed = project(picks, *PRINT_SINK.fieldNames())
+    return launch(lines_writer(printed, path), name, checkpoints, **run)
 
 
 def copy_job(
@@ -183,6 +184,8 @@ def copy_job(
     return launch(writer, name, checkpoints, **run)
 
 
-def tail_job(records: DataFrame, name: str, checkpoints: str, **run) -> StreamingQuery:
-    """Every record of a topic to the console."""
-    return launch(console_writer(raw_records(records)), name, checkpoints, **run)
+def tail_job(
+    records: DataFrame, path: str, name: str, checkpoints: str, **run
+) -> StreamingQuery:
+    """Every field of every record of a topic, as lines of JSON."""
+    return launch(lines_writer(raw_records(records), path), name, checkpoints, **run)

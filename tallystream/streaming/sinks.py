@@ -12,8 +12,13 @@ from tallystream.functions.encoding import to_messages
 from tallystream.operators.projection import insert_positional
 
 
-def console_writer(df: DataFrame, rows: int = 20) -> DataStreamWriter:
-    """K6: print rows as they come."""
+def lines_writer(df: DataFrame, path: str) -> DataStreamWriter:
+    """K6: every row as a line of JSON, written by the task that has it; nulls included."""
+    return df.writeStream.format("json").option("path", path).option("ignoreNullFields", "false")
+
+
+def preview_writer(df: DataFrame, rows: int = 20) -> DataStreamWriter:
+    """The first rows of each batch to the console, to look at; the others are not shown."""
     return df.writeStream.format("console").option("truncate", "false").option("numRows", rows)
 
 

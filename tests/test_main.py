@@ -38,11 +38,25 @@ def test_counters(spark, folder, topic):
 
 
 def test_print_and_tail(spark, folder, topic):
-    run(folder, "print", topic)
+    run(folder, "print", topic, "--to-files", f"{folder}/printed")
+    assert spark.read.json(f"{folder}/printed").count() == 3
     records = views.raw_topic(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
     records = records.withColumn("timestamp", records.timestamp.cast("timestamp"))
     records.write.parquet(f"{folder}/records")
-    run(folder, "tail", f"{folder}/records")
+    main(["tail", "--files", f"{folder}/records", "--checkpoints", f"{folder}/c2", "--once",
+          "--to-files", f"{folder}/tail"])
+    assert spark.read.json(f"{folder}/tail").count() == 1000
+
+
+def test_restart_counts_once(spark, folder, topic):
+    for _ in range(2):
+        run(folder, "totals", topic, "--to-files", f"{folder}/table")
+    stored = Ledger(f"{folder}/table", ["user_id"], TOTALS).read(spark)
+    assert rows(stored) == [(1, 2, 30, 1, 1, 0), (2, 0, 0, 0, 0, 0)]
+    with pytest.raises(SystemExit, match="checkpoints"):
+        main(["totals", "--files", topic, "--to-files", f"{folder}/table", "--once"])
+    with pytest.raises(SystemExit, match="start"):
+        run(folder, "totals", topic, "--to-files", f"{folder}/table", "--start", "resume")
 
 
 def test_copy(spark, folder):

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from tallystream.plans import QUERIES
 from tallystream.functions import parse_picks
 from tallystream.operators import contributions, user_totals
 from tallystream.schemas import PICK_TABLE
@@ -12,7 +13,7 @@ from tallystream.sources import json_table
 from tests.conftest import pick, texts
 
 STREAMS = re.compile("stream|upsert|append|topic|insert")
-BATCH = sorted(n for n in driver.queries() if not STREAMS.search(n))
+BATCH = sorted(n for n in QUERIES if not STREAMS.search(n))
 NARROW = [
     "pick_parse_json",
     "pick_table",
@@ -32,18 +33,18 @@ def plan(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", text)
 
 
 @pytest.mark.parametrize("name", NARROW)
 def test_narrow_queries_do_not_shuffle(spark, sf_dir, name):
-    assert "Exchange" not in plan(driver.queries()[name](spark, sf_dir))
+    assert "Exchange" not in plan(QUERIES[name](spark, sf_dir))
 
 
 @pytest.mark.parametrize("name", ONE_SHUFFLE)
 def test_one_shuffle_after_partial_aggregation(spark, sf_dir, name):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert text.count("Exchange hashpartitioning") == 1
     assert "partial_sum" in text
 
@@ -58,7 +59,7 @@ def test_one_shuffle_after_partial_aggregation(spark, sf_dir, name):
     ],
 )
 def test_scan_reads_only_what_is_used(spark, sf_dir, name, columns):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     [schema] = re.findall(r"ReadSchema: struct<(.*)>", text)
     assert [field.split(":")[0] for field in schema.split(",")] == columns
 

@@ -1,6 +1,7 @@
 """T2-T8, K1, K2 on files: streams equal batches, replays change nothing."""
 
 import os
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -22,7 +23,7 @@ from tallystream.streaming import (
     tail_job,
     totals_job,
 )
-from tallystream.streaming.jobs import counters_writer, pick_counters
+from tallystream.streaming.jobs import counters_writer, launch, pick_counters
 from tallystream.streaming.ledger import Ledger
 from tests.conftest import pick, rows, texts
 
@@ -257,20 +258,40 @@ def test_ride_copy_is_strict(spark, folder):
         copy(spark, folder)
 
 
-def test_console_jobs_read_every_row(spark, folder):
-    texts(spark, pick(1), pick(2)).write.text(f"{folder}/in")
-    query = project_job(spark.readStream.text(f"{folder}/in"), "print", f"{folder}/c", available_now=True)
+def test_print_and_tail_write_every_row(spark, folder):
+    texts(spark, *(pick(k) for k in range(50))).coalesce(1).write.text(f"{folder}/in")
+    messages = spark.readStream.text(f"{folder}/in")
+    query = project_job(messages, f"{folder}/out", "print", f"{folder}/c", available_now=True)
     query.awaitTermination()
-    assert sum(p.numInputRows for p in query.recentProgress) == 2
     assert query.name == "print"
+    out = spark.read.json(f"{folder}/out").collect()
+    assert len({r.user_fkey for r in out}) == len(out) == 50
 
     records = views.raw_topic(
         spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, props string")
         .parquet("/root/testdata/sf0.001/events.parque[t]")
     )
-    query = tail_job(records, "tail", f"{folder}/c", available_now=True)
+    query = tail_job(records, f"{folder}/tail", "tail", f"{folder}/c", available_now=True)
     query.awaitTermination()
-    assert sum(p.numInputRows for p in query.recentProgress) > 0
+    assert spark.read.json(f"{folder}/tail").count() == 1000
+
+
+def test_old_files_are_read(spark, folder):
+    """A file dated 30 days back, found on a checkpoint that has seen a newer one."""
+
+    def totals():
+        messages = file_topic(spark, f"{folder}/in")
+        writer = file_topic_writer(messages, f"{folder}/out")
+        launch(writer, "old", f"{folder}/c", available_now=True).awaitTermination()
+        return spark.read.text(f"{folder}/out").count()
+
+    os.makedirs(f"{folder}/in")
+    for number, age in enumerate((0, 30)):
+        with open(f"{folder}/in/{number}.txt", "w") as out:
+            out.write("x\n")
+        old = time.time() - age * 86400
+        os.utime(f"{folder}/in/{number}.txt", (old, old))
+        assert totals() == number + 1
 
 
 def test_scratch_is_below_the_shared_folder(spark):
