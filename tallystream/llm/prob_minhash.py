@@ -15,9 +15,14 @@ No pairs within a band are listed. In each round a band's leader, the text that
 meets most others in all its bands, is compared with the others, and goes. 1 - J_P is a metric, so a text at
 distance d from the leader can link only to texts between d - 0.2 and d + 0.2
 from it: a band in which all are links of its leader is done, and in others only
-texts stay that can still link to one that is not. Later rounds take four times
-as many leaders. So no link within a band is lost, however large it is. Classes
-are the connected components of the links.
+texts stay that can still link to one that is not. What a first round leaves over
+is often a large group of texts that are alike, but not alike enough. Its texts are
+banded anew, by shingles that links must share: J_P is at most the sum of
+min(p_i, q_i) of the normalised weights, so two texts that link share one of the
+rarest shingles that make up 1 - 0.8 of either's weight. Rounds over these bands, with
+eight times the leaders each, go on until each band lies within one class. So no
+link within a band is lost, however large it is. Classes are the connected
+components of the links.
 
 Texts of fewer than five words are one shingle. Texts without words, null ones
 too, have no copies: each is a class of its own. Rows that share a doc_id may
@@ -267,21 +272,66 @@ def _leaders(members: DataFrame, leaders: int) -> DataFrame:
     )
 
 
+def prefix_bands(keys: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(band, key, n) of the texts: rare shingles, of which any link of them shares one.
+
+    A text's shingles go by the number of these texts that have them, then by hash; its
+    bands are the first ones that make up more than 1 - ``least`` of its weight.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                hashes, bounds = word_hashes(part.column("raw").to_pylist())
+                text, shingle, weight = weighted_shingles(hashes, bounds)
+                total = np.bincount(text, weight, part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("key").take(pa.array(text)),
+                        pa.array(shingle.view(np.int64)),
+                        pa.array(weight / total[text]),
+                    ],
+                    ["key", "band", "share"],
+                )
+
+    drawn = texts.join(keys, "key").select("key", "raw")
+    drawn = drawn.mapInArrow(run, "key binary, band long, share double").checkpoint()
+    common = drawn.groupBy("band").agg(F.count("*").alias("common")).checkpoint()
+    first = Window.partitionBy("key").orderBy("common", "band")
+    before = F.sum("share").over(first.rowsBetween(Window.unboundedPreceding, -1))
+    bands = drawn.join(common, "band").withColumn("before", F.coalesce(before, F.lit(0.0)))
+    bands = bands.filter((F.col("before") <= 1 - least + 1e-9) & (F.col("common") > 1))
+    bands = bands.select("band", "key").checkpoint()
+    return bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band")
+
+
 def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(key, root) of texts with links: their class by all links within bands.
 
-    ``members``: (band, key, n), n being the number of texts in the band. The texts
-    that meet most others lead: they are in the middle of a group of copies.
+    ``members``: (band, key, n), n being the number of texts in the band.
     """
-    roots, leaders, far = None, 1, 1 - least
+    roots, left = _led(members, texts, least, None, 1)
+    if not left.isEmpty():
+        members = prefix_bands(left.select("key").distinct(), texts, least)
+        roots, _ = _led(members, texts, least, roots, None)
+    return roots
+
+
+def _led(
+    members: DataFrame, texts: DataFrame, least: float, roots: DataFrame | None, rounds: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """Roots after so many rounds of leaders, None for all; and (band, key, rank, root) left over.
+
+    The texts that meet most others lead: they are in the middle of a group of copies.
+    """
+    leaders, far = 1, 1 - least
     rank = members.groupBy("key").agg((-F.sum("n")).alias("rank"))
-    members = members.join(rank, "key").select("band", "key", "rank", F.col("key").alias("root"))
-    members = members.checkpoint()
-    while True:
+    members = _mixed(members.join(rank, "key").select("band", "key", "rank"), roots)
+    while rounds != 0 and (roots is None or not members.isEmpty()):
         first = _leaders(members, leaders).checkpoint()
         led = members.join(first, "band").filter("led_order < struct(rank, key)")
-        pairs = led.filter("root != led_root").select("key", "leader").distinct()
-        scored = compare(pairs, texts, least).checkpoint()
+        pairs = led if leaders == 1 else led.filter("root != led_root")
+        scored = compare(pairs.select("key", "leader").distinct(), texts, least).checkpoint()
         linked = scored.filter(F.col("similarity") >= least)
         if roots is None:
             roots = components(linked.select("key", "leader").distinct())
@@ -299,14 +349,20 @@ def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFram
         else:
             gone = first.select("band", F.col("leader").alias("key"))
             left = members.join(gone, ["band", "key"], "left_anti")
-        left = left.select("band", "key", "rank").join(roots, "key", "left")
-        left = left.withColumn("root", F.coalesce("root", "key")).checkpoint()
-        # A band within one class has no link left that would change a class.
-        mixed = left.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-        members = left.join(mixed.filter("a != b").select("band"), "band", "left_semi").checkpoint()
-        if members.isEmpty():
-            return roots
+        members = _mixed(left.select("band", "key", "rank"), roots)
         leaders *= 8
+        rounds = rounds and rounds - 1
+    return roots, members
+
+
+def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(band, key, rank, root); a band within one class has no link left that would change a class."""
+    if roots is None:
+        return members.withColumn("root", F.col("key")).checkpoint()
+    members = members.join(roots, "key", "left")
+    members = members.withColumn("root", F.coalesce("root", "key")).checkpoint()
+    mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+    return members.join(mixed.filter("a != b").select("band"), "band", "left_semi").checkpoint()
 
 
 def _renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:

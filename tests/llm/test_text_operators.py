@@ -391,6 +391,30 @@ def test_near_classes_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
 
 
+def test_links_share_a_rare_shingle(spark):
+    rng = random.Random(11)
+    base, made = [f"v{rng.randrange(60)}" for _ in range(240)], []
+    for k in range(40):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 8, 12])):
+            copy[rng.randrange(len(copy))] = f"z{rng.randrange(30)}"
+        made.append((bytes([k]), " ".join(copy * rng.choice([1, 1, 2]))))
+    made.append((b"a few", "one two three"))
+    texts = spark.createDataFrame(made, "key binary, raw string")
+    texts = texts.select("key", F.col("raw").cast("binary"))
+    shared = {}
+    for r in prob_minhash.prefix_bands(texts.select("key"), texts, 0.8).collect():
+        shared.setdefault(r.band, set()).add(bytes(r.key))
+    assert all(len(keys) > 1 for keys in shared.values())
+    sets, links = [(k, shingles(t)) for k, t in made], 0
+    for i, (key, a) in enumerate(sets):
+        for other, b in sets[:i]:
+            if brute_similarity(a, b) >= 0.8:
+                links += 1
+                assert any({key, other} <= keys for keys in shared.values())
+    assert links > 10
+
+
 def test_near_classes_of_odd_rows(odd):
     got = prob_minhash.near_classes(odd)
     assert got.count() == 10
