@@ -20,7 +20,7 @@ is often a large group of texts that are alike, but not alike enough. Its texts
 banded anew, by shingles that links must share: J_P is at most the sum of
 min(p_i, q_i) of the normalised weights, so two texts that link share one of the
 rarest shingles that make up 1 - 0.8 of either's weight. Rounds over these bands, with
-eight times the leaders each, go on until each band lies within one class. So no
+eight leaders and then eight times as many each, go on until each band lies within one class. So no
 link within a band is lost, however large it is. Classes are the connected
 components of the links.
 
@@ -38,16 +38,25 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tallystream.llm.texts import mix, raw_text, shared_checkpoints, slices, word_hashes
+from tallystream.llm.texts import (
+    free_checkpoints,
+    freed_shuffles,
+    mix,
+    raw_text,
+    shared_checkpoints,
+    slices,
+    word_hashes,
+)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 BAND_ROWS = 5
 BROADCAST_KEYS = 500_000  # keys up to which they are broadcast, 16 bytes each
+BROADCAST_ROOTS = 100_000  # texts with links up to which their roots are broadcast, 32 bytes each
 BROADCAST_BYTES = 10 << 20  # bytes of texts up to which they are broadcast, Spark's default
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -173,6 +182,18 @@ def _some(frame: DataFrame, n: int) -> DataFrame:
     return F.broadcast(frame) if n <= BROADCAST_KEYS else frame
 
 
+def _counted(frame: DataFrame, which: str = "true") -> tuple[DataFrame, int]:
+    """The frame as a checkpoint, and how many of its rows are such, counted as it is written."""
+    seen = Observation()
+    frame = frame.observe(seen, F.count(F.when(F.expr(which), 1)).alias("n")).checkpoint()
+    return frame, seen.get["n"]
+
+
+def _few(roots: DataFrame) -> DataFrame:
+    """Roots, as they are joined: broadcast if they are counted to be few."""
+    return F.broadcast(roots) if roots.count() <= BROADCAST_ROOTS else roots
+
+
 def candidate_texts(docs: DataFrame, texts: DataFrame, members: DataFrame) -> DataFrame:
     """(key, raw): the texts in bands with others, once each."""
     wanted = members.select("key").distinct().join(texts.select("key", "doc_id"), "key").checkpoint()
@@ -310,32 +331,35 @@ def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFram
 
     ``members``: (band, key, n), n being the number of texts in the band.
     """
-    roots, left = _led(members, texts, least, None, 1)
-    if not left.isEmpty():
+    roots, left, n = _led(members, texts, least, None, 1)
+    if n:
         members = prefix_bands(left.select("key").distinct(), texts, least)
-        roots, _ = _led(members, texts, least, roots, None)
+        roots, _, _ = _led(members, texts, least, roots, None)
     return roots
 
 
 def _led(
     members: DataFrame, texts: DataFrame, least: float, roots: DataFrame | None, rounds: int | None
-) -> tuple[DataFrame, DataFrame]:
-    """Roots after so many rounds of leaders, None for all; and (band, key, rank, root) left over.
+) -> tuple[DataFrame, DataFrame, int]:
+    """Roots after so many rounds of leaders, None for all; (band, key, rank, root) left over; their number.
+
+    ``roots`` are those known so far, None at first: then a single text leads each band.
 
     The texts that meet most others lead: they are in the middle of a group of copies.
     """
-    leaders, far = 1, 1 - least
+    leaders, far = 1 if roots is None else 8, 1 - least
     rank = members.groupBy("key").agg((-F.sum("n")).alias("rank"))
-    members = _mixed(members.join(rank, "key").select("band", "key", "rank"), roots)
-    while rounds != 0 and (roots is None or not members.isEmpty()):
+    members, n = _mixed(members.join(rank, "key").select("band", "key", "rank"), roots)
+    while rounds != 0 and (roots is None or n):
         first = _leaders(members, leaders).checkpoint()
         led = members.join(first, "band").filter("led_order < struct(rank, key)")
         pairs = led if leaders == 1 else led.filter("root != led_root")
-        scored = compare(pairs.select("key", "leader").distinct(), texts, least).checkpoint()
+        scored = compare(pairs.select("key", "leader").distinct(), texts, least)
+        scored, links = _counted(scored, f"similarity >= {least!r}")
         linked = scored.filter(F.col("similarity") >= least)
         if roots is None:
             roots = components(linked.select("key", "leader").distinct())
-        elif not linked.isEmpty():
+        elif links:
             roots = _followed(roots, components(_renamed(linked, roots).distinct()))
 
         if leaders == 1:
@@ -349,24 +373,26 @@ def _led(
         else:
             gone = first.select("band", F.col("leader").alias("key"))
             left = members.join(gone, ["band", "key"], "left_anti")
-        members = _mixed(left.select("band", "key", "rank"), roots)
+        members, n = _mixed(left.select("band", "key", "rank"), roots)
+        free_checkpoints(members.sparkSession)
         leaders *= 8
         rounds = rounds and rounds - 1
-    return roots, members
+    return roots, members, n
 
 
-def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(band, key, rank, root); a band within one class has no link left that would change a class."""
+def _mixed(members: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, int]:
+    """(band, key, rank, root), and their number; a band within one class has no link left that would change a class."""
     if roots is None:
-        return members.withColumn("root", F.col("key")).checkpoint()
-    members = members.join(roots, "key", "left")
+        return _counted(members.withColumn("root", F.col("key")))
+    members = members.join(_few(roots), "key", "left")
     members = members.withColumn("root", F.coalesce("root", "key")).checkpoint()
     mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-    return members.join(mixed.filter("a != b").select("band"), "band", "left_semi").checkpoint()
+    return _counted(members.join(mixed.filter("a != b").select("band"), "band", "left_semi"))
 
 
 def _renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges between the roots that their ends have so far."""
+    roots = _few(roots)
     a = roots.select("key", F.col("root").alias("a"))
     b = roots.select(F.col("key").alias("leader"), F.col("root").alias("b"))
     named = edges.join(a, "key", "left").join(b, "leader", "left")
@@ -394,30 +420,28 @@ def components(edges: DataFrame) -> DataFrame:
     )
     both = both.checkpoint()
     least = F.least(F.min("other"), F.first("key")).alias("root")
-    roots = both.groupBy("key").agg(least).checkpoint()
+    roots, n = _counted(both.groupBy("key").agg(least))
     while True:
-        theirs = roots.select(F.col("key").alias("other"), F.col("root").alias("theirs"))
+        known = F.broadcast(roots) if n <= BROADCAST_ROOTS else roots
+        theirs = known.select(F.col("key").alias("other"), F.col("root").alias("theirs"))
         near = both.join(theirs, "other").groupBy("key").agg(F.min("theirs").alias("theirs"))
-        taken = roots.join(near, "key").select(
+        taken = near.join(known, "key").select(
             "key", "root", F.least("root", "theirs").alias("taken")
         )
-        jump = roots.select(F.col("key").alias("taken"), F.col("root").alias("next"))
+        jump = known.select(F.col("key").alias("taken"), F.col("root").alias("next"))
         new = taken.join(jump, "taken", "left").select(
             "key", "root", F.least("taken", F.coalesce("next", "taken")).alias("new")
         )
-        new = new.checkpoint()
+        new, changed = _counted(new, "new < root")
         roots = new.select("key", F.col("new").alias("root"))
-        if new.filter("new < root").isEmpty():
+        if not changed:
             return roots
 
 
-def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Per document: doc_id, key of its text, class_id (least doc_id of its class),
-    class_key (a text of that document), n_copies (documents of its text)."""
-    shared_checkpoints(docs.sparkSession)
+def _rooted(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents' sketches, different texts, and (key, root) of those with links."""
     drawn = sketch(docs).checkpoint()
-    worded = drawn.filter("key IS NOT NULL")
-    texts = worded.groupBy("key").agg(
+    texts = drawn.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first("bands").alias("bands")
     )
     texts = texts.checkpoint()
@@ -427,7 +451,16 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     raws = candidate_texts(docs, texts, members).checkpoint()
     held = raws.agg(F.sum(F.length("raw") + 64)).first()[0] or 0
     roots = link_classes(members, F.broadcast(raws) if held <= BROADCAST_BYTES else raws, least)
+    return drawn, texts, roots
 
+
+def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Per document: doc_id, key of its text, class_id (least doc_id of its class),
+    class_key (a text of that document), n_copies (documents of its text)."""
+    shared_checkpoints(docs.sparkSession)
+    with freed_shuffles(docs.sparkSession):
+        drawn, texts, roots = _rooted(docs, least)
+    worded = drawn.filter("key IS NOT NULL")
     known = texts.select("key", F.col("doc_id").alias("least_id"), "n_copies")
     known = known.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = F.min(F.struct(F.col("least_id").isNull(), "least_id", "key")).alias("first")

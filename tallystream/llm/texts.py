@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,34 @@ def shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each job started in the block go when that job ends.
+
+    Only for steps that all end in a checkpoint, so that no later job wants the files.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def free_checkpoints(spark: SparkSession) -> None:
+    """Lets Spark delete the checkpoints that no frame uses any longer.
+
+    It does so once the driver's JVM has collected them, and if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set; the JVM of a driver that
+    only starts jobs may not collect for hours.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
