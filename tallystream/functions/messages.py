@@ -2,51 +2,60 @@
 
 A message must hold exactly one JSON object. Spark's parser stops at the end
 of the first object and reads an empty text as "no record", so the text is
-parsed as the one element of a list, ``{"one":[<text>],"end":true}``: left-over
-text, several objects and empty text then all show up as malformed, or hide the
-end mark. Only left-over text that closes the list and opens another one, as in
-``{..}],"x":[1``, is not seen.
+parsed as the first of two elements of a list, ``{"list":[<text>,{"mark":true}]}``.
+Left-over text, several objects and empty text are then malformed, or the list has
+not the text and the mark as its two elements. List and mark have names made new
+for each plan, so that no text can close the list and open it again.
 
 ``inline`` puts the parse behind a Generate node. Later filters on parsed
 fields stay above it, so each message is parsed once however many columns and
 checks use the result.
 """
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from tallystream.functions.picks import trailing_id
 from tallystream.schemas import PICK_RECORD
 
 _ONE = "__one"
-_END = "__end"
 _BAD = "__bad"
 
 
-def _parse(df: DataFrame, schema: StructType, value: str, mode: str) -> DataFrame:
-    """Append ``__one`` (list of records), ``__end`` and, if permissive, ``__bad``."""
-    root = StructType().add(_ONE, ArrayType(schema)).add(_END, "boolean")
+def enclosed(text: Column, mark_value: str) -> tuple[Column, str, str]:
+    """The text as first element of a list with an end mark; names of list and mark."""
+    names, mark = f"l{uuid.uuid4().hex}", f"m{uuid.uuid4().hex}"
+    end = ',{"%s":%s}]}' % (mark, mark_value)
+    return F.concat(F.lit('{"%s":[' % names), text, F.lit(end)), names, mark
+
+
+def _parse(df: DataFrame, schema: StructType, value: str, mode: str) -> tuple[DataFrame, Column]:
+    """Append ``__one`` (list of record and mark) and, if permissive, ``__bad``.
+
+    The second value is true where the text held one object.
+    """
+    text, names, mark = enclosed(F.col(value), "true")
+    element = StructType([*schema.fields, StructField(mark, BooleanType())])
+    root, columns = StructType().add(names, ArrayType(element)), [_ONE]
     options = {"mode": mode, "allowSingleQuotes": "false"}
     if mode == "PERMISSIVE":
         root = root.add(_BAD, StringType())
+        columns.append(_BAD)
         options["columnNameOfCorruptRecord"] = _BAD
-    text = F.concat(F.lit('{"%s":[' % _ONE), F.col(value), F.lit('],"%s":true}' % _END))
-    return df.select("*", F.inline(F.array(F.from_json(text, root, options))))
+    parsed = F.inline(F.array(F.from_json(text, root, options))).alias(*columns)
+    last = F.get(_ONE, F.lit(1))
+    single = (F.size(_ONE) == 2) & _record().isNotNull() & _record()[mark].isNull() & last[mark]
+    return df.select("*", parsed), F.coalesce(single, F.lit(False))
 
 
 def _record() -> Column:
     return F.get(_ONE, F.lit(0))
 
 
-def _single() -> Column:
-    """True if the text held one object."""
-    single = (F.size(_ONE) == 1) & _record().isNotNull() & F.col(_END)
-    return F.coalesce(single, F.lit(False))
-
-
 def _missing(value: str, required: Iterable[str]) -> Column:
     """True if a required key is absent.
 
@@ -71,12 +80,13 @@ def _require(df: DataFrame, ok: Column, message: str, value: str) -> DataFrame:
 
 def _checked(
     parsed: DataFrame,
+    single: Column,
     schema: StructType,
     value: str,
     required: Iterable[str],
     keep: Iterable[str],
 ) -> DataFrame:
-    parsed = _require(parsed, _single(), "not one JSON object", value)
+    parsed = _require(parsed, single, "not one JSON object", value)
     if required:
         parsed = _require(parsed, ~_missing(value, required), "missing field", value)
     return parsed.select(*keep, *(_record()[n].alias(n) for n in schema.fieldNames()))
@@ -98,9 +108,10 @@ def parse_messages(
     not declared are ignored. Null texts carry no row. ``keep`` names columns
     of ``df`` to carry along.
     """
-    parsed = _parse(df, schema, value, "FAILFAST").where(F.col(_ONE).isNotNull())
+    parsed, single = _parse(df, schema, value, "FAILFAST")
+    parsed = parsed.where(F.col(_ONE).isNotNull())
     names = schema.fieldNames() if strict else list(required)
-    return _checked(parsed, schema, value, names, keep)
+    return _checked(parsed, single, schema, value, names, keep)
 
 
 def parse_picks(df: DataFrame, value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
@@ -110,8 +121,8 @@ def parse_picks(df: DataFrame, value: str = "value", keep: Iterable[str] = ()) -
     user key, and the stake of a pick that counts (checked where it is added
     up).
     """
-    parsed = _parse(df, PICK_RECORD, value, "FAILFAST")
-    picks = _checked(parsed, PICK_RECORD, value, PICK_RECORD.fieldNames(), keep)
+    parsed, single = _parse(df, PICK_RECORD, value, "FAILFAST")
+    picks = _checked(parsed, single, PICK_RECORD, value, PICK_RECORD.fieldNames(), keep)
     return picks.withColumn("user_id", trailing_id(F.col("user_fkey")))
 
 
@@ -131,10 +142,10 @@ def quarantine(
     column splits the stream. ``reason`` names a column for why: ``malformed``
     or ``missing field``. Null texts carry no row.
     """
-    parsed = _parse(df, schema, value, "PERMISSIVE")
+    parsed, single = _parse(df, schema, value, "PERMISSIVE")
     parsed = parsed.where(F.col(_ONE).isNotNull() | F.col(_BAD).isNotNull())
     required = list(required)
-    why = F.when(F.col(_BAD).isNotNull() | ~_single(), "malformed")
+    why = F.when(F.col(_BAD).isNotNull() | ~single, "malformed")
     if required:
         why = why.when(_missing(value, required), "missing field")
     parsed = parsed.withColumn("__why", why)

@@ -7,20 +7,33 @@ an int long before the counts of one message do.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystream.functions.messages import enclosed
 from tallystream.functions.picks import user_key
 
 
 def counter_map(text: Column) -> Column:
     """A JSON object as a map of texts; of a repeated key the last value wins.
 
+    Any other text fails the query, left-over text after the object too; null is null.
     Spark's parser keeps repeated keys. They are rare, so the scan for a later
     occurrence runs only on maps that have one. The one-element ``transform``
-    binds the parsed map to a name, which keeps the text parsed once.
+    binds the parsed list to a name, which keeps the text parsed once.
     """
-    parsed = F.from_json(
-        text, "map<string,string>", {"mode": "FAILFAST", "allowSingleQuotes": "false"}
-    )
-    return F.transform(F.array(parsed), _last_wins)[0]
+    whole, names, mark = enclosed(text, '"1"')
+    root = f"{names} array<map<string,string>>"
+    parsed = F.from_json(whole, root, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    shown = F.coalesce(F.substring(text, 1, 200), F.lit("null"))
+    fail = F.raise_error(F.concat(F.lit("not one JSON object: "), shown))
+
+    def checked(found: Column) -> Column:
+        first, last = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        single = (F.size(found) == 2) & first.isNotNull() & ~F.map_contains_key(first, mark)
+        single = F.coalesce(single & F.map_contains_key(last, mark), F.lit(False))
+        return F.when(text.isNull(), None).when(single, _last_wins(first)).otherwise(
+            fail.cast("map<string,string>")
+        )
+
+    return F.transform(F.array(parsed[names]), checked)[0]
 
 
 def _last_wins(counters: Column) -> Column:

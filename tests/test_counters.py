@@ -123,3 +123,13 @@ def test_merge_equals_plain_python(spark, delta, stored):
         spark.createDataFrame([(u, json.dumps(m)) for u, m in stored.items()], SCHEMA),
     )
     assert {u: json.loads(text) for u, text in rows(merged)} == expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"a":1}{"b":2}', '{"a":1},', "", "null", '{"a":1', '{"a":1}],"x":[1', '{"a":1}],"one":[{"a":2}'],
+)
+def test_counter_map_refuses_other_text(spark, text):
+    rows = spark.createDataFrame([(1, text)], "user_id long, general_stats string")
+    with pytest.raises(Exception, match="not one JSON object|MALFORMED|Malformed"):
+        explode_counters(rows).collect()

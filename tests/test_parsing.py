@@ -5,7 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from tallystream.functions import parse_messages, parse_picks, quarantine, trailing_id
 from tallystream.operators import contributions
@@ -244,3 +244,13 @@ def test_damaged_messages_are_read_as_by_a_strict_reader(spark):
         missing = not {"a", "b"} <= set(json.loads(row.value))
         assert row.why == ("missing field" if missing else None)
     assert any({"a", "b"} <= k for k in keys)
+
+
+@pytest.mark.parametrize("text", ['{"a":1}],"x":[1', '{"a":1}],"x":[{"a":2}', '{"a":1}],"__one":[{"a":2}'])
+def test_text_that_reopens_the_list_is_refused(spark, text):
+    schema = StructType().add("a", IntegerType())
+    df = spark.createDataFrame([(text,)], "value string")
+    with pytest.raises(Exception, match="not one JSON object|MALFORMED|Malformed"):
+        parse_messages(df, schema, strict=True).collect()
+    kept = quarantine(df, schema, reason="why").collect()
+    assert [(r.a, r.corrupt_record, r.why) for r in kept] == [(None, text, "malformed")]
