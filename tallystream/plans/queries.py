@@ -411,7 +411,7 @@ def _windows_append(windows):
         picks = views.picks(views.events_stream(session, sf_dir))
         writer = table_writer(windows(picks, size="2 seconds", exact=True), f"{work}/table")
         stream = launch(writer, "windows", f"{work}/checkpoints", every="1 second")
-        wait_closed(stream, size_seconds=2, timeout=24 * 3600)
+        wait_closed(stream, size_seconds=2)
         stored = spark.read.parquet(f"{work}/table")
         return stored.groupBy("user_fkey").agg(
             F.sum("total_risk_amount").alias("total_risk_amount")

@@ -86,20 +86,24 @@ def closing_windows_sql(
     )
 
 
-def wait_closed(query: StreamingQuery, size_seconds: float, timeout: float) -> None:
+def wait_closed(query: StreamingQuery, size_seconds: float, timeout: float | None = None) -> None:
     """Stop a query over a finite input once all its windows are written.
 
     The input is used up when a batch holds heartbeats only. All picks were
     processed before that batch began, so their windows are closed by the first
-    finished batch whose watermark is one window later.
+    finished batch whose watermark is one window later. Fails if a batch dropped
+    rows as late: the clock was then set back. No ``timeout`` waits without end.
     """
-    deadline = time.time() + timeout
+    deadline = float("inf") if timeout is None else time.time() + timeout
     target = None
     try:
         while time.time() < deadline:
             if not query.isActive:
                 raise RuntimeError(f"query ended early: {query.exception()}")
             progress = query.lastProgress
+            dropped = _dropped(progress)
+            if dropped:
+                raise RuntimeError(f"{dropped} rows fell into closed windows: the clock went back")
             if progress is not None and target is None:
                 if not any(_has_picks(source) for source in progress.sources):
                     target = _epoch(progress.timestamp) + size_seconds
@@ -113,6 +117,12 @@ def wait_closed(query: StreamingQuery, size_seconds: float, timeout: float) -> N
         query.stop()
 
 
+def _dropped(progress) -> int:
+    """Rows that the last batch dropped because their window was closed."""
+    operators = [] if progress is None else progress.stateOperators
+    return sum(operator.numRowsDroppedByWatermark for operator in operators)
+
+
 def _has_picks(source) -> bool:
     return "RateStream" not in source.description and source.numInputRows > 0
 
