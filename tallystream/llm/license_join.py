@@ -1,11 +1,13 @@
-"""License scans: an exact set-similarity join of text blocks with license templates.
+"""License scans: an exact set-similarity join of word windows with license templates.
 
-A block is a line. A template is found in a block if at least ``threshold`` of
-the template's distinct words are in it. Words are ordered by how many blocks of
-the whole corpus hold them, rarest first. To reach the needed overlap a block
-must hold one of a template's first words (its prefix), have enough words, and
-have enough left behind the first shared word (positional filter); what passes
-is counted in full, so that every pair at the threshold is found.
+A block is a window of a text's words, wherever its lines break. A template is
+found in a window if at least ``threshold`` of the template's distinct words are in
+it; windows are as long as the template has words, over the threshold. Words are
+ordered by how many texts of the whole corpus hold them, rarest first. To reach the
+needed overlap a text must hold one of a template's first words (its prefix), and
+enough of those from the first shared word on (positional filter); windows must hold
+enough words (length filter). What passes is counted in full, so that every pair at
+the threshold is found.
 
 Null texts are empty: no words, no labels, score 0. Repeated documents each get
 a row. Only doc_id and text are read.
@@ -51,23 +53,21 @@ class Template:
     label: str
     ranked: tuple[bytes, ...]  # distinct words, rarest in the corpus first
     needed: int
+    span: int  # words of a window
 
     def prefix(self) -> tuple[bytes, ...]:
         return self.ranked[: len(self.ranked) - self.needed + 1]
 
 
 def block_frequency(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
-    """In how many lines of the corpus each word of the templates is; counted in the tasks."""
+    """In how many texts of the corpus each word of the templates is; counted in the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for part in slices(batch):
                 for raw in part.column("raw").to_pylist():
-                    if vocabulary.isdisjoint(words(raw)):
-                        continue
-                    for line in raw.split(b"\n"):
-                        counts.update(vocabulary.intersection(words(line)))
+                    counts.update(vocabulary.intersection(words(raw)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
             ["word", "n"],
@@ -79,19 +79,20 @@ def block_frequency(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]
 
 
 def ranked_templates(docs: DataFrame, templates, threshold: float) -> list[Template]:
-    sets = [(label, set(words(text.encode()))) for text, label in templates]
-    sets = [(label, ws) for label, ws in sets if ws]
-    vocabulary = set().union(*(ws for _, ws in sets))
+    listed = [(label, words(text.encode())) for text, label in templates]
+    listed = [(label, ws) for label, ws in listed if ws]
+    vocabulary = set().union(*(ws for _, ws in listed))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"the templates have more than {MAX_TEMPLATE_WORDS} words; join in parts")
     frequency = block_frequency(docs, vocabulary)
     return [
         Template(
             label,
-            tuple(sorted(ws, key=lambda w: (frequency.get(w, 0), w))),
-            max(1, math.ceil(threshold * len(ws) - 1e-9)),
+            tuple(sorted(set(ws), key=lambda w: (frequency.get(w, 0), w))),
+            max(1, math.ceil(threshold * len(set(ws)) - 1e-9)),
+            math.ceil(len(ws) / min(1.0, max(threshold, 0.1)) - 1e-9),
         )
-        for label, ws in sets
+        for label, ws in listed
     ]
 
 
@@ -106,20 +107,37 @@ class Index:
                 self.at.setdefault(word, []).append((k, position))
         self.prefixes = set(self.at)
 
-    def block(self, tokens: set[bytes]) -> Iterator[tuple[str, float]]:
-        """Label and containment of each template found in a block of distinct words."""
+    def found(self, tokens: list[bytes], distinct: set[bytes]) -> Iterator[tuple[str, float]]:
+        """Label and best containment of each template found in a window of a text."""
         first: dict[int, int] = {}
-        for word in self.prefixes & tokens:
+        for word in self.prefixes & distinct:
             for k, position in self.at[word]:
                 first[k] = min(first.get(k, position), position)
         for k, position in first.items():
             t = self.templates[k]
-            # Length, then position: what can still be shared from the first shared word on.
-            if len(tokens) < t.needed or len(t.ranked) - position < t.needed:
+            if sum(w in distinct for w in t.ranked[position:]) < t.needed:
                 continue
-            shared = sum(w in tokens for w in t.ranked[position:])
-            if shared >= t.needed:
-                yield t.label, shared / len(t.ranked)
+            best = max((shared for _, _, shared in windows(t, tokens)), default=0)
+            if best:
+                yield t.label, best / len(t.ranked)
+
+
+def windows(t: Template, tokens: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """(first word, last word, distinct words shared) of the windows that reach what is needed."""
+    wanted = set(t.ranked)
+    hits = [at for at, word in enumerate(tokens) if word in wanted]
+    held: Counter = Counter()
+    left = shared = 0
+    for right, at in enumerate(hits):
+        shared += not held[tokens[at]]
+        held[tokens[at]] += 1
+        # A first word that comes again adds nothing to this window or a later one.
+        while hits[left] <= at - t.span or held[tokens[hits[left]]] > 1:
+            held[tokens[hits[left]]] -= 1
+            shared -= not held[tokens[hits[left]]]
+            left += 1
+        if right - left + 1 >= t.needed and shared >= t.needed:
+            yield hits[left], at, shared
 
 
 def phrase_places(tokens: list[bytes], phrases: list[tuple[tuple[bytes, ...], str]]):
@@ -141,7 +159,7 @@ def license_scan(
 ) -> DataFrame:
     """Per document: words, places of the phrases, labels of phrases and templates, score.
 
-    The score is the highest containment of a template found in a line, else 0.
+    The score is the highest containment of a template found in a window, else 0.
     """
     index = Index(ranked_templates(docs, templates, threshold))
     named = PHRASES if phrases is None else phrases
@@ -155,10 +173,9 @@ def license_scan(
         places = [] if last_words.isdisjoint(distinct) else list(phrase_places(tokens, spelled))
         base, labels, score = {label for _, label in places}, set(), 0.0
         if not index.prefixes.isdisjoint(distinct):
-            for line in raw.split(b"\n"):
-                for label, share in index.block(set(words(line))):
-                    labels.add(label)
-                    score = max(score, share)
+            for label, share in index.found(tokens, distinct):
+                labels.add(label)
+                score = max(score, share)
         starts = [at for at, _ in places]
         return (
             len(tokens), len(places), min(starts, default=None), max(starts, default=None),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -183,6 +184,37 @@ def test_license_query(spark, sf_dir, texts):
         assert r.labels == ",".join(sorted(labels)) and r.score == pytest.approx(score)
 
 
+def scanned(spark, *rows):
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    return [r for _, r in sorted(found(license_join.license_scan(frame)).items())]
+
+
+@pytest.mark.parametrize("width", [20, 40, 72])
+def test_wrapped_licenses(spark, width):
+    mit = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software '
+           'and associated documentation files (the "Software"), to deal in the Software without '
+           'restriction, including without limitation the rights to use, copy, modify')
+    texts = [mit, license_join.TEMPLATES[7][0], license_join.TEMPLATES[8][0], "Not a word of it. " * 20]
+    texts = ["Some prose before.\n * " + "\n * ".join(textwrap.wrap(t, width)) for t in texts]
+    rows = scanned(spark, *texts)
+    assert [r.labels for r in rows] == ["mit", "bsd", "mpl", ""]
+    assert [r.score for r in rows] == [1, 1, 1, 0]
+
+
+def test_windows_against_brute_force():
+    rng = random.Random(2)
+    for _ in range(500):
+        letters = [bytes([97 + i]) for i in range(6)]
+        ranked = tuple(rng.sample(letters, rng.randint(1, 5)))
+        t = license_join.Template("x", ranked, rng.randint(1, len(ranked)), rng.randint(len(ranked), 8))
+        tokens = [rng.choice(letters) for _ in range(rng.randint(0, 25))]
+        shared = [len(set(tokens[p : p + t.span]) & set(ranked)) for p in range(len(tokens))]
+        best = max(shared, default=0)
+        got = list(license_join.windows(t, tokens))
+        assert max((n for *_, n in got), default=0) == (best if best >= t.needed else 0)
+        assert all(b - a < t.span and len(set(tokens[a : b + 1]) & set(ranked)) == n for a, b, n in got)
+
+
 # 4
 PAGE = """<html><head><title>T</title></head><body><nav><a href=x>Home</a></nav>
 <div class="ad">Buy &amp; save</div>{open}<h1>A title</h1><p>First <b>bold</b>
