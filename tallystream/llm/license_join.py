@@ -9,6 +9,10 @@ enough of those from the first shared word on (positional filter); windows must
 enough words (length filter). What passes is counted in full, so that every pair at
 the threshold is found.
 
+``labels`` has every template found. Where several share words of one place,
+``notice_labels`` has only that of the best containment there and, if equal, of the
+most words: a notice's own license. Templates equal in both are all named.
+
 Null texts are empty: no words, no labels, score 0. Repeated documents each get
 a row. Only doc_id and text are read.
 """
@@ -16,6 +20,7 @@ a row. Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,6 +59,7 @@ class Template:
     ranked: tuple[bytes, ...]  # distinct words, rarest in the corpus first
     needed: int
     span: int  # words of a window
+    pairs: frozenset[tuple[bytes, bytes]] = frozenset()  # words that follow one another
 
     def prefix(self) -> tuple[bytes, ...]:
         return self.ranked[: len(self.ranked) - self.needed + 1]
@@ -91,6 +97,7 @@ def ranked_templates(docs: DataFrame, templates, threshold: float) -> list[Templ
             tuple(sorted(set(ws), key=lambda w: (frequency.get(w, 0), w))),
             max(1, math.ceil(threshold * len(set(ws)) - 1e-9)),
             math.ceil(len(ws) / min(1.0, max(threshold, 0.1)) - 1e-9),
+            frozenset(zip(ws, ws[1:])),
         )
         for label, ws in listed
     ]
@@ -107,8 +114,8 @@ class Index:
                 self.at.setdefault(word, []).append((k, position))
         self.prefixes = set(self.at)
 
-    def found(self, tokens: list[bytes], distinct: set[bytes]) -> Iterator[tuple[str, float]]:
-        """Label and best containment of each template found in a window of a text."""
+    def found(self, tokens: list[bytes], distinct: set[bytes]) -> Iterator[tuple]:
+        """(template, first word, last word, distinct words shared) of windows of a text."""
         first: dict[int, int] = {}
         for word in self.prefixes & distinct:
             for k, position in self.at[word]:
@@ -117,9 +124,8 @@ class Index:
             t = self.templates[k]
             if sum(w in distinct for w in t.ranked[position:]) < t.needed:
                 continue
-            best = max((shared for _, _, shared in windows(t, tokens)), default=0)
-            if best:
-                yield t.label, best / len(t.ranked)
+            for start, end, shared in windows(t, tokens):
+                yield t, start, end, shared
 
 
 def windows(t: Template, tokens: list[bytes]) -> Iterator[tuple[int, int, int]]:
@@ -140,6 +146,28 @@ def windows(t: Template, tokens: list[bytes]) -> Iterator[tuple[int, int, int]]:
             yield hits[left], at, shared
 
 
+def notices(found: list[tuple], tokens: list[bytes]) -> set[str]:
+    """Labels of the windows that no better one overlaps."""
+    ordered = []
+    for t, start, end, shared in found:
+        # Of windows equally good that with most words in the template's order is the notice.
+        stretch = tokens[start : end + 1]
+        follow = sum(pair in t.pairs for pair in zip(stretch, stretch[1:]))
+        ordered.append(((shared / len(t.ranked), len(t.ranked)), follow, start, end, t.label))
+    ordered.sort(key=lambda x: (x[0], x[1], -x[2]), reverse=True)
+    labels: set[str] = set()
+    starts, taken = [], {}  # of windows apart from each other
+    for rank, _, start, end, label in ordered:
+        before = bisect_right(starts, end) - 1
+        if before < 0 or taken[starts[before]][0] < start:
+            insort(starts, start)
+            taken[start] = end, rank
+            labels.add(label)
+        elif taken[starts[before]][1] == rank:
+            labels.add(label)
+    return labels
+
+
 def phrase_places(tokens: list[bytes], phrases: list[tuple[tuple[bytes, ...], str]]):
     """(start, label) of every place where a phrase's words stand one after another."""
     heads: dict[bytes, list] = {}
@@ -157,7 +185,7 @@ def phrase_places(tokens: list[bytes], phrases: list[tuple[tuple[bytes, ...], st
 def license_scan(
     docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] | None = None, threshold: float = 0.8
 ) -> DataFrame:
-    """Per document: words, places of the phrases, labels of phrases and templates, score.
+    """Per document: words, places of the phrases, labels of phrases and templates, score, notices' own labels.
 
     The score is the highest containment of a template found in a window, else 0.
     """
@@ -171,20 +199,21 @@ def license_scan(
         tokens = words(raw)
         distinct = set(tokens)
         places = [] if last_words.isdisjoint(distinct) else list(phrase_places(tokens, spelled))
-        base, labels, score = {label for _, label in places}, set(), 0.0
+        base, found = {label for _, label in places}, []
         if not index.prefixes.isdisjoint(distinct):
-            for label, share in index.found(tokens, distinct):
-                labels.add(label)
-                score = max(score, share)
+            found = list(index.found(tokens, distinct))
+        labels = {t.label for t, *_ in found}
+        score = max((shared / len(t.ranked) for t, *_, shared in found), default=0.0)
         starts = [at for at, _ in places]
         return (
             len(tokens), len(places), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(base | labels)), score,
+            ",".join(sorted(base | notices(found, tokens))),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64()]
-        names = "doc_id n_words n_base first_word last_word base_labels labels score".split()
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64(), pa.string()]
+        names = "doc_id n_words n_base first_word last_word base_labels labels score notice_labels".split()
         for batch in batches:
             for part in slices(batch):
                 columns = zip(*map(judge, part.column("raw").to_pylist()))
@@ -195,5 +224,5 @@ def license_scan(
     return docs.select(F.col("doc_id").cast("long"), raw_text()).mapInArrow(
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-        "base_labels string, labels string, score double",
+        "base_labels string, labels string, score double, notice_labels string",
     )

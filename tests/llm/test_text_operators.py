@@ -201,6 +201,17 @@ def test_wrapped_licenses(spark, width):
     assert [r.score for r in rows] == [1, 1, 1, 0]
 
 
+def test_notices_get_their_own_label(spark):
+    by, nc, sa = (f"Licensed under CC {x} 4.0." for x in ("BY", "BY-NC", "BY-SA"))
+    far = " and so on it goes for a while".join("licensed under cc by 4 0".split())
+    rows = scanned(spark, by, nc, sa, f"{by}\n{nc}", f"{nc}\n{by}", f"{sa} {nc}", far, "MIT License", None)
+    assert [r.notice_labels for r in rows] == [
+        "cc-by", "cc-by-nc", "cc-by-sa", "cc-by,cc-by-nc", "cc-by,cc-by-nc", "cc-by-nc,cc-by-sa",
+        "", "mit", "",
+    ]
+    assert rows[6].labels == "" and rows[0].score == rows[1].score == 1
+
+
 def test_windows_against_brute_force():
     rng = random.Random(2)
     for _ in range(500):
