@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.llm.decontaminate import contamination
+from tallystream.llm.exact_copies import exact_copies
+from tallystream.llm.filter_audit import filter_audit
 from tallystream.llm.license_join import license_scan
 from tallystream.llm.main_text import main_texts
 from tallystream.llm.mixing import mix_plan
@@ -18,6 +20,7 @@ from tallystream.llm.pii_crf import personal_data
 from tallystream.llm.prob_minhash import near_classes
 from tallystream.llm.quality_classifier import quality_scores
 from tallystream.llm.repetition import repetition_rules
+from tallystream.llm.spelling import spelling_variants
 from tallystream.llm.texts import table
 from tallystream.llm.token_count import token_counts
 from tallystream.llm.url_cascade import url_verdicts
@@ -109,6 +112,20 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -122,5 +139,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_near_duplicates,
         op10_source_mix,
+        op11_exact_dedup,
+        op12_spelling_variants,
+        op13_filter_audit,
     )
 }

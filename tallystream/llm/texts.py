@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,6 +46,32 @@ def slices(
         at = to
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(raw: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """Text in pieces of about ``size`` bytes, cut at white space only."""
+    at = 0
+    while len(raw) - at > size:
+        found = _SPACE.search(raw, at + size)
+        if found is None:
+            break
+        yield raw[at : found.start()]
+        at = found.start()
+    yield raw[at:]
+
+
+def new_names(columns: list[str], *wanted: str) -> list[str]:
+    """Column names that no given column has, in any case."""
+    taken, names = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed 64-bit permutation that scatters its input (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)
