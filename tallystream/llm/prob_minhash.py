@@ -11,21 +11,21 @@ plain Jaccard similarity where no shingle repeats.
 Equal texts are joined first, by a 128-bit digest of their words. Signatures are
 cut into bands; texts that share a band are compared in full, by J_P.
 
-No pairs within a band are listed. In each round a band's leader, the text that
-meets most others in all its bands, is compared with the others, and goes. 1 - J_P is a metric, so a text at
-distance d from the leader can link only to texts between d - 0.2 and d + 0.2
-from it: a band in which all are links of its leader is done, and in others only
-texts stay that can still link to one that is not. What a first round leaves over
-is often a large group of texts that are alike, but not alike enough. Its texts are
-banded anew, by shingles that links must share: J_P is at most the sum of
-min(p_i, q_i) of the normalised weights, so two texts that link share one of the
-rarest shingles that make up 1 - 0.8 of either's weight. Rounds over these bands, with
-eight leaders and then eight times as many each, go on until each band lies within one class. So no
-link within a band is lost, however large it is. Classes are the connected
-components of the links.
-
-Texts of fewer than five words are one shingle. Texts without words, null ones
-too, have no copies: each is a class of its own. Rows that share a doc_id may
+The pairs of a band are not listed. First each text is compared with one other, the
+best of its bands' leaders: the leader is the text that meets most others in all its
+bands. Links join texts to classes. Then texts are compared with the other leaders of
+their bands that are of another class. A band whose texts are all of one class by then is
+done: a link within it would change nothing. Of the others only pairs of texts from two
+classes are left. These are met in tiles of bitmaps, one bit a shingle: bits that one of
+two texts has alone bound the weight that they share, and so J_P (``most_similar``, exact
+for texts without repeated shingles up to shared bits). What the bound leaves, each pair
+in the first band that it shares, is compared in full. So no link within a band is lost,
+however large it is; bands are dealt out as pairs of parts of a bounded size.
+Classes are the connected components of the links. A pair at similarity 0.8 shares a band
+with probability 1 - (1 - 0.8^5)^25 = 0.99995.
+
+Texts of fewer than five words are one shingle. Texts without words are equal if their
+bytes are; empty and null ones have no copies, each is a class of its own. Rows that share a doc_id may
 differ in text. A class is named by its least doc_id, null if it has none but
 null. Only doc_id and text are read; ``near_distinct`` keeps all columns.
 """
@@ -34,20 +34,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallystream.llm.texts import (
-    free_checkpoints,
     freed_shuffles,
+    freed_tables,
+    join_counted,
     mix,
+    new_names,
     raw_text,
     shared_checkpoints,
     slices,
+    split_groups,
+    stored,
     word_hashes,
 )
 
@@ -55,6 +58,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 25
 BAND_ROWS = 5
+PAIRS_AT_ONCE = 4096  # pairs of one text, above which it is sent to several tasks
+TILE = 64
+LEAST_BITS = 1024  # of a bitmap
+BLOCK_BYTES = 4 << 20  # of bitmaps of one band, above which it is split
 BROADCAST_KEYS = 500_000  # keys up to which they are broadcast, 16 bytes each
 BROADCAST_ROOTS = 100_000  # texts with links up to which their roots are broadcast, 32 bytes each
 BROADCAST_BYTES = 10 << 20  # bytes of texts up to which they are broadcast, Spark's default
@@ -139,11 +146,14 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def text_keys(raws: list[bytes]) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
-    """A 16-byte digest of each text's words, null without any; and the words' hashes."""
+    """A 16-byte digest of each text's words, of its bytes if it has none, null if it is
+    empty; and the words' hashes."""
     hashes, bounds = word_hashes(raws)
     keys = [
-        hashlib.blake2b(hashes[s:e].tobytes(), digest_size=16).digest() if e > s else None
-        for s, e in zip(bounds[:-1], bounds[1:])
+        hashlib.blake2b(hashes[s:e].tobytes(), digest_size=16).digest()
+        if e > s
+        else hashlib.blake2b(raw, digest_size=16, person=b"no words").digest() if raw else None
+        for s, e, raw in zip(bounds[:-1], bounds[1:], raws)
     ]
     return keys, hashes, bounds
 
@@ -162,8 +172,9 @@ def sketch(docs: DataFrame) -> DataFrame:
                 band = np.broadcast_to(salts, found.shape[:2])
                 for k in range(BAND_ROWS):
                     band = mix(band * _BASE + found[:, :, k])
-                filled = band.view(np.int64).ravel()
-                ends = np.arange(0, len(filled) + 1, BANDS, dtype=np.int32)
+                worded = np.diff(bounds) > 0  # texts without words are in no band
+                filled = band.view(np.int64)[worded].ravel()
+                ends = np.append(0, np.cumsum(worded * BANDS)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -183,9 +194,9 @@ def _some(frame: DataFrame, n: int) -> DataFrame:
 
 
 def _counted(frame: DataFrame, which: str = "true") -> tuple[DataFrame, int]:
-    """The frame as a checkpoint, and how many of its rows are such, counted as it is written."""
+    """The frame stored, and how many of its rows are such, counted as it is written."""
     seen = Observation()
-    frame = frame.observe(seen, F.count(F.when(F.expr(which), 1)).alias("n")).checkpoint()
+    frame = stored(frame.observe(seen, F.count(F.when(F.expr(which), 1)).alias("n")))
     return frame, seen.get["n"]
 
 
@@ -196,8 +207,7 @@ def _few(roots: DataFrame) -> DataFrame:
 
 def candidate_texts(docs: DataFrame, texts: DataFrame, members: DataFrame) -> DataFrame:
     """(key, raw): the texts in bands with others, once each."""
-    wanted = members.select("key").distinct().join(texts.select("key", "doc_id"), "key").checkpoint()
-    n = wanted.count()
+    wanted, n = _counted(members.select("key").join(texts.select("key", "doc_id"), "key"))
     ids = wanted.select(F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.col("doc_id").cast("long"), raw_text())
     rows = rows.join(_some(ids, n), rows["doc_id"].eqNullSafe(ids["id"]), "left_semi")
@@ -216,22 +226,40 @@ def candidate_texts(docs: DataFrame, texts: DataFrame, members: DataFrame) -> Da
     return found.dropDuplicates(["key"])
 
 
+def _with_text(pairs: DataFrame, side: str, many: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs with the text of one side, in a column of that name with "_raw".
+
+    ``many``: (of, copies) of the texts in many pairs; these are sent to several tasks.
+    """
+    spread = F.pmod(F.xxhash64("key", "leader"), F.coalesce("copies", F.lit(1))).cast("int")
+    pairs = pairs.join(many, F.col(side) == F.col("of"), "left").withColumn("copy", spread)
+    pairs = pairs.drop("of", "copies")
+    named = texts.select(F.col("key").alias("text_key"), F.col("raw").alias(f"{side}_raw"))
+    named = named.join(many, F.col("text_key") == F.col("of"), "left")
+    last = F.coalesce("copies", F.lit(1)) - 1
+    named = named.withColumn("number", F.explode(F.sequence(F.lit(0), last)))
+    on = (F.col(side) == F.col("text_key")) & (F.col("copy") == F.col("number"))
+    return pairs.join(named.drop("of", "copies"), on).drop("text_key", "number", "copy")
+
+
 def compare(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(key, leader, similarity) of pairs; in full where it can reach ``least``.
 
-    J_P is at most the shared part of the normalised weights, sum of min(p_i, q_i). A
-    pair for which that is below ``least`` gets that bound instead.
+    A pair for which the bound of ``most_similar`` is below ``least`` gets that bound.
     """
-    sides = pairs.join(texts, "key").join(
-        texts.select(F.col("key").alias("leader"), F.col("raw").alias("led")), "leader"
-    )
+    sides = stored(pairs)
+    for side in ("key", "leader"):
+        many = sides.groupBy(F.col(side).alias("of")).agg(F.count("*").alias("pairs"))
+        many = many.filter(F.col("pairs") > PAIRS_AT_ONCE)
+        many = many.select("of", F.ceil(F.col("pairs") / PAIRS_AT_ONCE).cast("int").alias("copies"))
+        sides = _with_text(sides, side, _some(*_counted(many)), texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "key_raw"):
                 keys, leaders = (part.column(c).to_pylist() for c in ("key", "leader"))
-                raws = dict(zip(keys, part.column("raw").to_pylist()))
-                raws.update(zip(leaders, part.column("led").to_pylist()))
+                raws = dict(zip(keys, part.column("key_raw").to_pylist()))
+                raws.update(zip(leaders, part.column("leader_raw").to_pylist()))
                 sets = _sets(raws)
                 found = [_score(sets[a], sets[b], least) for a, b in zip(keys, leaders)]
                 yield pa.RecordBatch.from_arrays(
@@ -239,7 +267,7 @@ def compare(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                     ["key", "leader", "similarity"],
                 )
 
-    return sides.select("key", "leader", "raw", "led").mapInArrow(
+    return sides.select("key", "leader", "key_raw", "leader_raw").mapInArrow(
         run, "key binary, leader binary, similarity double"
     )
 
@@ -265,129 +293,217 @@ def _sets(raws: dict[bytes, bytes]) -> dict[bytes, tuple[np.ndarray, ...]]:
     return out
 
 
+def most_similar(shared: np.ndarray, led_shared: np.ndarray) -> np.ndarray:
+    """The greatest J_P of two texts, from the share of either's weight in shared shingles.
+
+    A shared shingle's term is at most 1 / (u/p + v/q + max(1/p, 1/q)), with p and q its
+    weights over the shared weight of either text, and u and v what is not shared, likewise.
+    That is concave and homogeneous in (p, q), so that the sum over all is at most its
+    value at (1, 1), 1 / (1 + u + v). For sets it is the plain Jaccard similarity itself.
+    """
+    with np.errstate(divide="ignore"):
+        return 1 / (1 / np.float64(shared) + 1 / np.float64(led_shared) - 1)
+
+
 def _score(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], least: float) -> float:
     at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
     both = b[0][at] == a[0]
-    bound = float(np.minimum(a[2], b[2][at])[both].sum())
+    bound = float(most_similar(a[2][both].sum(), b[2][at[both]].sum()))
     return similarity(a[:2], b[:2]) if bound >= least - 1e-9 else bound
 
 
-def _leaders(members: DataFrame, leaders: int) -> DataFrame:
-    """The first texts of each band, by rank, then key."""
-    order = F.struct("rank", "key")
-    if leaders == 1:
-        first = members.groupBy("band").agg(F.min(F.struct("rank", "key", "root")).alias("first"))
-        return first.select(
-            "band",
-            F.col("first.key").alias("leader"),
-            F.col("first.root").alias("led_root"),
-            F.struct("first.rank", "first.key").alias("led_order"),
-        )
-    place = F.row_number().over(Window.partitionBy("band").orderBy("rank", "key"))
-    first = members.withColumn("place", place).filter(F.col("place") <= leaders)
-    return first.select(
-        "band",
-        F.col("key").alias("leader"),
-        F.col("root").alias("led_root"),
-        order.alias("led_order"),
-    )
+def bitmap(shingle: np.ndarray) -> bytes:
+    """A bit for each shingle, at least eight bits a shingle, so its size follows the text's."""
+    size = max(LEAST_BITS, 1 << int(8 * len(shingle) - 1).bit_length())
+    bits = np.zeros(size, np.bool_)
+    bits[(shingle & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
 
 
-def prefix_bands(keys: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(band, key, n) of the texts: rare shingles, of which any link of them shares one.
-
-    A text's shingles go by the number of these texts that have them, then by hash; its
-    bands are the first ones that make up more than 1 - ``least`` of its weight.
-    """
+def bitmaps(texts: DataFrame) -> DataFrame:
+    """(key, total, bits): weight of all shingles and a bitmap of them, of texts (key, raw)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                hashes, bounds = word_hashes(part.column("raw").to_pylist())
-                text, shingle, weight = weighted_shingles(hashes, bounds)
+                text, shingle, weight = weighted_shingles(
+                    *word_hashes(part.column("raw").to_pylist())
+                )
+                ends = np.searchsorted(text, np.arange(part.num_rows + 1))
+                bits = [bitmap(shingle[i:j]) for i, j in zip(ends[:-1], ends[1:])]
                 total = np.bincount(text, weight, part.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("key").take(pa.array(text)),
-                        pa.array(shingle.view(np.int64)),
-                        pa.array(weight / total[text]),
-                    ],
-                    ["key", "band", "share"],
+                    [part.column("key"), pa.array(total), pa.array(bits, pa.binary())],
+                    ["key", "total", "bits"],
                 )
 
-    drawn = texts.join(keys, "key").select("key", "raw")
-    drawn = drawn.mapInArrow(run, "key binary, band long, share double").checkpoint()
-    common = drawn.groupBy("band").agg(F.count("*").alias("common")).checkpoint()
-    first = Window.partitionBy("key").orderBy("common", "band")
-    before = F.sum("share").over(first.rowsBetween(Window.unboundedPreceding, -1))
-    bands = drawn.join(common, "band").withColumn("before", F.coalesce(before, F.lit(0.0)))
-    bands = bands.filter((F.col("before") <= 1 - least + 1e-9) & (F.col("common") > 1))
-    bands = bands.select("band", "key").checkpoint()
-    return bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band")
+    return texts.select("key", "raw").mapInArrow(run, "key binary, total double, bits binary")
+
+
+def _folded(bits: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, larger ones folded to ``size`` bytes."""
+    rows = []
+    for one in bits:
+        words = np.frombuffer(one, np.uint64)
+        rows.append(np.bitwise_or.reduce(words.reshape(-1, size // 8), axis=0))
+    return np.stack(rows)
+
+
+def open_pairs(
+    block: np.ndarray, root: np.ndarray, side: np.ndarray, total: np.ndarray, bits: list[bytes], least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows i < j of one block, not of one root, whose bitmaps allow J_P of at least ``least``.
+
+    Rows are sorted by block. A bit that only one text has stands for at least one shingle,
+    of weight one or more, that the other lacks.
+    """
+    size = np.array([len(b) for b in bits])
+    left, right = [], []
+    for at in range(0, len(block), TILE):
+        a = slice(at, at + TILE)
+        for to in range(at, len(block), TILE):
+            if to > at and block[to] != block[a][-1]:
+                break
+            b = slice(to, to + TILE)
+            open_ = (block[a][:, None] == block[b][None, :]) & (root[a][:, None] != root[b][None, :])
+            open_ &= (side[a] < 0)[:, None] | (side[a][:, None] != side[b][None, :])
+            if to == at:
+                open_ = np.triu(open_, 1)
+            if not open_.any():
+                continue
+            least_size = int(min(size[a].min(), size[b].min()))
+            x, y = _folded(bits[a], least_size), _folded(bits[b], least_size)
+            common = np.bitwise_count(x[:, None, :] & y[None, :, :]).sum(axis=2, dtype=np.int64)
+            lone_x = np.bitwise_count(x).sum(axis=1, dtype=np.int64)[:, None] - common
+            lone_y = np.bitwise_count(y).sum(axis=1, dtype=np.int64)[None, :] - common
+            shared_x, shared_y = 1 - lone_x / total[a][:, None], 1 - lone_y / total[b][None, :]
+            open_ &= most_similar(shared_x, shared_y) >= least - 1e-9
+            i, j = np.nonzero(open_)
+            left.append(i + at)
+            right.append(j + to)
+    if not left:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _open(least: float):
+    """Pairs (key, leader) of rows sorted by block, each in the first band that both share."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        block = table.column("block").to_numpy()
+        roots = table.column("root").to_pylist()
+        number = {root: k for k, root in enumerate(set(roots))}
+        i, j = open_pairs(
+            block,
+            np.array([number[root] for root in roots]),
+            table.column("side").to_numpy(),
+            table.column("total").to_numpy(),
+            table.column("bits").to_pylist(),
+            least,
+        )
+        bands = [set(b) for b in table.column("bands").take(pa.array(np.append(i, j))).to_pylist()]
+        band = table.column("band").to_numpy()[i].tolist()
+        first = [min(bands[k] & bands[k + len(i)]) == band[k] for k in range(len(i))]
+        key = table.column("key")
+        columns = [key.take(pa.array(side[np.array(first, np.bool_)])) for side in (i, j)]
+        return pa.table(columns, names=["key", "leader"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            changes = np.flatnonzero(block[1:] != block[:-1])
+            if kept and len(block) and kept[-1].column("block")[-1].as_py() != block[0]:
+                yield from pairs(pa.Table.from_batches(kept)).to_batches()
+                kept = []
+            if len(changes):
+                # All but the last block are whole; that one may go on in the next batch.
+                cut = int(changes[-1]) + 1
+                whole = pa.Table.from_batches([*kept, batch.slice(0, cut)])
+                yield from pairs(whole).to_batches()
+                kept, batch = [], batch.slice(cut)
+            if batch.num_rows:
+                kept.append(batch)
+        if kept:
+            yield from pairs(pa.Table.from_batches(kept)).to_batches()
+
+    return run
+
+
+def left_pairs(members: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """(key, leader): pairs of texts that share a band, have no common root yet, and whose
+    bitmaps allow a link.
+
+    Bands whose texts are of one class are done. In the others texts are compared in
+    tiles; a band larger than ``BLOCK_BYTES`` is dealt out as pairs of its parts, so that no
+    task holds more than two of these.
+    """
+    rows = members.join(_few(roots), "key", "left")
+    rows = rows.select("key", "bands", F.coalesce("root", "key").alias("root"))
+    spread = stored(rows.select("key", "root", F.explode("bands").alias("band")))
+    mixed = spread.groupBy("band").agg(
+        F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")
+    )
+    mixed, n = _counted(mixed.filter("a != b").select("band", "n"))
+    spread = stored(join_counted(spread, mixed, "band", n).drop("n"))
+    keys = spread.select("key").distinct()
+    held = bitmaps(texts.join(keys, "key", "left_semi")).join(members.select("key", "bands"), "key")
+    spread = spread.join(held, "key").withColumn("block", F.col("band"))
+    spread = split_groups(stored(spread), "key", F.length("bits") + 256, BLOCK_BYTES)
+    order = ("block", F.length("bits"), "root", "key")
+    spread = spread.repartition("block").sortWithinPartitions(*order)
+    return spread.mapInArrow(_open(least), "key binary, leader binary")
+
+
+def _leaders(exploded: DataFrame, shared: DataFrame, n: int) -> DataFrame:
+    """(key, bands, first, others): a text's bands with others, the best of their leaders
+    and the rest of them. The texts that meet most others lead: they are in the middle of
+    a group of copies."""
+    members = join_counted(exploded, shared, "band", n)
+    members = members.groupBy("key").agg(
+        (-F.sum("n")).alias("rank"), F.collect_list("band").alias("bands")
+    )
+    members = stored(members)
+    spread = members.select("key", "rank", F.explode("bands").alias("band"))
+    best = spread.groupBy("band").agg(
+        F.min(F.struct("rank", "key")).alias("best"), F.count("*").alias("n")
+    )
+    led = join_counted(spread, stored(best), "band", n)
+    led = led.groupBy("key").agg(F.collect_set("best").alias("all"), F.min("best").alias("first"))
+    others = F.transform(F.array_except("all", F.array("first")), lambda one: one["key"])
+    led = led.select(
+        F.col("key").alias("of"), F.col("first.key").alias("first"), others.alias("others")
+    )
+    return members.join(led, F.col("key") == F.col("of")).select("key", "bands", "first", "others")
 
 
 def link_classes(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(key, root) of texts with links: their class by all links within bands.
 
-    ``members``: (band, key, n), n being the number of texts in the band.
+    ``members``: (key, bands, first, others) of texts that share a band with another.
     """
-    roots, left, n = _led(members, texts, least, None, 1)
-    if n:
-        members = prefix_bands(left.select("key").distinct(), texts, least)
-        roots, _, _ = _led(members, texts, least, roots, None)
-    return roots
+    pairs = members.filter("key != first").select("key", F.col("first").alias("leader"))
+    scored = compare(pairs, texts, least).filter(F.col("similarity") >= least)
+    roots = components(scored.select("key", "leader"))
+    pairs = members.select("key", F.explode("others").alias("leader")).filter("key != leader")
+    roots = _linked(_apart(pairs, roots), texts, roots, least)
+    return _linked(left_pairs(members, texts, roots, least), texts, roots, least)
 
 
-def _led(
-    members: DataFrame, texts: DataFrame, least: float, roots: DataFrame | None, rounds: int | None
-) -> tuple[DataFrame, DataFrame, int]:
-    """Roots after so many rounds of leaders, None for all; (band, key, rank, root) left over; their number.
+def _linked(pairs: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Roots after the links among the pairs were added."""
+    scored, links = _counted(compare(pairs, texts, least).filter(F.col("similarity") >= least))
+    return _followed(roots, components(_renamed(scored, roots).distinct())) if links else roots
 
-    ``roots`` are those known so far, None at first: then a single text leads each band.
 
-    The texts that meet most others lead: they are in the middle of a group of copies.
-    """
-    leaders, far = 1 if roots is None else 8, 1 - least
-    rank = members.groupBy("key").agg((-F.sum("n")).alias("rank"))
-    members, n = _mixed(members.join(rank, "key").select("band", "key", "rank"), roots)
-    while rounds != 0 and (roots is None or n):
-        first = _leaders(members, leaders).checkpoint()
-        led = members.join(first, "band").filter("led_order < struct(rank, key)")
-        pairs = led if leaders == 1 else led.filter("root != led_root")
-        scored = compare(pairs.select("key", "leader").distinct(), texts, least)
-        scored, links = _counted(scored, f"similarity >= {least!r}")
-        linked = scored.filter(F.col("similarity") >= least)
-        if roots is None:
-            roots = components(linked.select("key", "leader").distinct())
-        elif links:
-            roots = _followed(roots, components(_renamed(linked, roots).distinct()))
-
-        if leaders == 1:
-            # Distances to the leader decide who can still have an unseen link. Where the
-            # bound stands for the similarity, it only lets more stay.
-            away = led.join(scored, ["key", "leader"])
-            away = away.select("band", "key", "rank", (1 - F.col("similarity")).alias("d"))
-            nearest = F.min(F.when(F.col("d") > far, F.col("d"))).alias("nearest")
-            loose = away.groupBy("band").agg(nearest).filter("nearest IS NOT NULL")
-            left = away.join(loose, "band").filter(F.col("d") >= F.col("nearest") - far - 1e-9)
-        else:
-            gone = first.select("band", F.col("leader").alias("key"))
-            left = members.join(gone, ["band", "key"], "left_anti")
-        members, n = _mixed(left.select("band", "key", "rank"), roots)
-        free_checkpoints(members.sparkSession)
-        leaders *= 8
-        rounds = rounds and rounds - 1
-    return roots, members, n
-
-
-def _mixed(members: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, int]:
-    """(band, key, rank, root), and their number; a band within one class has no link left that would change a class."""
-    if roots is None:
-        return _counted(members.withColumn("root", F.col("key")))
-    members = members.join(_few(roots), "key", "left")
-    members = members.withColumn("root", F.coalesce("root", "key")).checkpoint()
-    mixed = members.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-    return _counted(members.join(mixed.filter("a != b").select("band"), "band", "left_semi"))
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose sides are not yet in one class."""
+    roots = _few(roots)
+    a = roots.select(F.col("key").alias("x"), F.col("root").alias("a"))
+    b = roots.select(F.col("key").alias("y"), F.col("root").alias("b"))
+    named = pairs.join(a, F.col("key") == F.col("x"), "left")
+    named = named.join(b, F.col("leader") == F.col("y"), "left")
+    return named.filter(F.coalesce("a", "key") != F.coalesce("b", "leader")).select("key", "leader")
 
 
 def _renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -406,7 +522,7 @@ def _followed(roots: DataFrame, new: DataFrame) -> DataFrame:
     """Roots after their own classes were joined; keys without a root before come in."""
     on = new.select(F.col("key").alias("root"), F.col("root").alias("further"))
     old = roots.join(on, "root", "left").select("key", F.coalesce("further", "root").alias("root"))
-    return old.unionByName(new.join(roots.select("key"), "key", "left_anti")).checkpoint()
+    return stored(old.unionByName(new.join(roots.select("key"), "key", "left_anti")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -418,7 +534,7 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("key", F.col("leader").alias("other")).unionByName(
         edges.select(F.col("leader").alias("key"), F.col("key").alias("other"))
     )
-    both = both.checkpoint()
+    both = stored(both)
     least = F.least(F.min("other"), F.first("key")).alias("root")
     roots, n = _counted(both.groupBy("key").agg(least))
     while True:
@@ -440,25 +556,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _rooted(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents' sketches, different texts, and (key, root) of those with links."""
-    drawn = sketch(docs).checkpoint()
+    drawn = stored(sketch(docs), keep=True)
     texts = drawn.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first("bands").alias("bands")
     )
-    texts = texts.checkpoint()
+    texts = stored(texts, keep=True)
     exploded = texts.select("key", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    members = exploded.join(shared, "band").checkpoint()
-    raws = candidate_texts(docs, texts, members).checkpoint()
+    shared, n = _counted(shared)
+    members = stored(_leaders(exploded, shared, n))
+    raws = stored(candidate_texts(docs, texts, members))
     held = raws.agg(F.sum(F.length("raw") + 64)).first()[0] or 0
     roots = link_classes(members, F.broadcast(raws) if held <= BROADCAST_BYTES else raws, least)
-    return drawn, texts, roots
+    return drawn, texts, stored(roots, keep=True)
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Per document: doc_id, key of its text, class_id (least doc_id of its class),
     class_key (a text of that document), n_copies (documents of its text)."""
     shared_checkpoints(docs.sparkSession)
-    with freed_shuffles(docs.sparkSession):
+    with freed_shuffles(docs.sparkSession), freed_tables(docs.sparkSession):
         drawn, texts, roots = _rooted(docs, least)
     worded = drawn.filter("key IS NOT NULL")
     known = texts.select("key", F.col("doc_id").alias("least_id"), "n_copies")
@@ -481,21 +598,22 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def near_distinct(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents with one of each class, with all their columns."""
-    classes = near_classes(docs, least).checkpoint()
+    classes = stored(near_classes(docs, least))
     first = F.col("key").eqNullSafe(F.col("class_key")) & F.col("doc_id").eqNullSafe(
         F.col("class_id")
     )
     gone = classes.filter(~first).select(F.col("doc_id").alias("gone"))
     ids = classes.groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.filter("doc_id IS NULL OR n > 1").isEmpty():
-        gone = gone.checkpoint()
-        return docs.join(_some(gone, gone.count()), docs["doc_id"] == gone["gone"], "left_anti")
+        gone, n = _counted(gone)
+        return docs.join(_some(gone, n), docs["doc_id"] == gone["gone"], "left_anti")
     return _distinct_rows(docs, classes.filter(first & F.col("key").isNotNull()))
 
 
 def _distinct_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The same where rows share a doc_id or have none: rows are told by doc_id and text."""
-    schema = docs.withColumn("__key", F.lit(None).cast("binary")).schema
+    key, same_id, same_key = new_names(docs.columns, "key", "same_id", "same_key")
+    schema = docs.withColumn(key, F.lit(None).cast("binary")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -505,7 +623,7 @@ def _distinct_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, keys], schema.names)
 
     keyed = docs.mapInArrow(run, schema)
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("key").alias("__chosen")).distinct()
-    same = keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__key"] == chosen["__chosen"])
-    kept = keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "__key"])
-    return kept.unionByName(keyed.filter("__key IS NULL")).drop("__key")
+    chosen = chosen.select(F.col("doc_id").alias(same_id), F.col("key").alias(same_key)).distinct()
+    same = keyed["doc_id"].eqNullSafe(chosen[same_id]) & (keyed[key] == chosen[same_key])
+    kept = keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", key])
+    return kept.unionByName(keyed.filter(F.col(key).isNull())).drop(key)

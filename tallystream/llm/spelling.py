@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.llm.texts import pieces, raw_text, shared_checkpoints, slices
+from tallystream.llm.texts import pieces, raw_text, shared_checkpoints, slices, split_groups
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -49,7 +49,6 @@ SHORT = 64
 BLOCK_WORDS = 90**2 + 90
 TILE = 64
 FLUSH = 200_000  # distinct words a task holds before it hands on their counts
-BROADCAST_BLOCKS = 100_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -102,7 +101,7 @@ def word_counts(
 
 
 def _blocks(words: DataFrame) -> DataFrame:
-    """Words once for each block: (block, longer, start, side, word, n).
+    """Words once for each block: (block, longer, start, word, n, side).
 
     ``longer`` is the length of the longer word of a pair, ``start`` where the segment
     begins, ``side`` 0 or 1 in a block that compares two parts of a split one, else -1.
@@ -123,38 +122,10 @@ def _blocks(words: DataFrame) -> DataFrame:
         F.substring("word", F.lit(1), F.col("start")),
         F.substring("word", length - tail + 1, tail),
     )
-    whole = F.lit(-1).alias("side")
-    return _split_large(rows.select(block.alias("block"), "longer", "start", whole, "word", "n"))
-
-
-def _split_large(rows: DataFrame) -> DataFrame:
-    """Blocks of long words above the bound become blocks of pairs of parts.
-
-    A part meets itself and each other part in one block, so that all pairs still meet once.
-    """
+    rows = rows.select(block.alias("block"), "longer", "start", "word", "n")
     short, long = rows.filter(F.col("longer") <= SHORT), rows.filter(F.col("longer") > SHORT)
-    large = long.groupBy(F.col("block").alias("of")).agg(F.count("*").alias("words"))
-    large = large.filter(F.col("words") > BLOCK_WORDS).checkpoint()
-    count = large.count()
-    if not count:
-        return rows
-    large = F.broadcast(large) if count <= BROADCAST_BLOCKS else large
-    parts = F.ceil(2 * F.col("words") / BLOCK_WORDS).cast("int")
-    split = long.join(large, F.col("block") == F.col("of"), "left").withColumn(
-        "parts", F.coalesce(parts, F.lit(1))
-    )
-    mine = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
-    split = split.withColumn("mine", mine).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    pair = F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other"))
-    block = F.when(F.col("parts") > 1, pair).otherwise(F.col("block"))
-    side = F.when(F.col("mine") == F.col("other"), -1).otherwise(
-        (F.col("mine") > F.col("other")).cast("int")
-    )
-    return short.unionByName(
-        split.select(block.alias("block"), "longer", "start", side.alias("side"), "word", "n")
-    )
+    long = split_groups(long, "word", F.lit(1), BLOCK_WORDS)
+    return short.withColumn("side", F.lit(-1)).unionByName(long)
 
 
 def _matrices(codes: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +101,39 @@ def shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+def stored(frame: DataFrame, keep: bool = False) -> DataFrame:
+    """The frame written as a table below the checkpoint folder, and read from there.
+
+    Cuts the lineage like ``checkpoint()``, and Spark knows the table's true size: behind a
+    checkpoint it goes on multiplying the estimates of joins, which takes ever longer in a loop.
+    """
+    shared_checkpoints(frame.sparkSession)
+    base = frame.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()
+    path = f"{base}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    passing = _PASSING.get()
+    if passing is not None and not keep:
+        passing.append(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def freed_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes in the block go at its end, but for those to keep."""
+    token = _PASSING.set([])
+    try:
+        yield
+    finally:
+        paths = _PASSING.get()
+        _PASSING.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of each job started in the block go when that job ends.
@@ -117,14 +152,51 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def free_checkpoints(spark: SparkSession) -> None:
-    """Lets Spark delete the checkpoints that no frame uses any longer.
+BROADCAST_KEYS = 500_000  # rows of one key and one number up to which they are broadcast
+HOT_KEYS = 1_000  # a key with more than one in so many of all rows is joined apart
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, n: int) -> DataFrame:
+    """Inner join with n rows, one a key, whose column ``n`` says how many rows have the key.
+
+    Keys of very many rows, at most ``HOT_KEYS``, are broadcast, so that none lands in one
+    task. ``rows`` is read again for each part: it should be stored or cheap.
+    """
+    if n <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(counted), key)
+    bound = (counted.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    hot = F.broadcast(counted.filter(F.col("n") > bound))
+    rest = rows.join(hot.select(key), key, "left_anti").join(counted, key)
+    return rows.join(hot, key).unionByName(rest)
+
+
+def split_groups(rows: DataFrame, member: str, weight: Column, limit: int) -> DataFrame:
+    """Splits the groups of rows with one ``block`` that weigh more than ``limit``.
 
-    It does so once the driver's JVM has collected them, and if
-    spark.cleaner.referenceTracking.cleanCheckpoints is set; the JVM of a driver that
-    only starts jobs may not collect for hours.
+    Such a group becomes groups for each pair of its parts, of which each part meets itself
+    and each other one once. ``side`` is 0 or 1 where two parts meet, else -1. Rows should
+    be stored; groups are counted first.
     """
-    spark.sparkContext._jvm.System.gc()
+    large = rows.groupBy(F.col("block").alias("of")).agg(F.sum(weight).alias("held"))
+    large = stored(large.filter(F.col("held") > limit))
+    count = large.count()
+    if not count:
+        return rows.withColumn("side", F.lit(-1))
+    large = F.broadcast(large) if count <= BROADCAST_KEYS else large
+    parts = F.ceil(2 * F.col("held") / limit).cast("int")
+    split = rows.join(large, F.col("block") == F.col("of"), "left")
+    split = split.withColumn("parts", F.coalesce(parts, F.lit(1))).drop("of", "held")
+    mine = F.pmod(F.xxhash64(member), F.col("parts")).cast("int")
+    split = split.withColumn("mine", mine).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    )
+    pair = F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other"))
+    alone = F.col("mine") == F.col("other")
+    return (
+        split.withColumn("block", F.when(F.col("parts") > 1, pair).otherwise(F.col("block")))
+        .withColumn("side", F.when(alone, -1).otherwise((F.col("mine") > F.col("other")).cast("int")))
+        .drop("parts", "mine", "other")
+    )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

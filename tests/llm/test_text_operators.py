@@ -6,12 +6,14 @@ import re
 import textwrap
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tallystream.llm import decontaminate, license_join, main_text, mixing, pii_crf
 from tallystream.llm import prob_minhash, quality_classifier, repetition, token_count, url_cascade
+from tallystream.llm import texts as texts_module
 from tallystream.llm.texts import word_hashes, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -434,28 +436,100 @@ def test_near_classes_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
 
 
-def test_links_share_a_rare_shingle(spark):
-    rng = random.Random(11)
-    base, made = [f"v{rng.randrange(60)}" for _ in range(240)], []
-    for k in range(40):
+def copies(rng, n, words, edits, vocabulary=4000):
+    """Texts that differ from one base, which is not among them, in some words each."""
+    base, made = [f"v{rng.randrange(vocabulary)}" for _ in range(words)], []
+    for _ in range(n):
         copy = list(base)
-        for _ in range(rng.choice([1, 2, 3, 8, 12])):
-            copy[rng.randrange(len(copy))] = f"z{rng.randrange(30)}"
-        made.append((bytes([k]), " ".join(copy * rng.choice([1, 1, 2]))))
-    made.append((b"a few", "one two three"))
-    texts = spark.createDataFrame(made, "key binary, raw string")
-    texts = texts.select("key", F.col("raw").cast("binary"))
-    shared = {}
-    for r in prob_minhash.prefix_bands(texts.select("key"), texts, 0.8).collect():
-        shared.setdefault(r.band, set()).add(bytes(r.key))
-    assert all(len(keys) > 1 for keys in shared.values())
-    sets, links = [(k, shingles(t)) for k, t in made], 0
-    for i, (key, a) in enumerate(sets):
-        for other, b in sets[:i]:
-            if brute_similarity(a, b) >= 0.8:
-                links += 1
-                assert any({key, other} <= keys for keys in shared.values())
-    assert links > 10
+        for _ in range(rng.choice(edits)):
+            copy[rng.randrange(words)] = f"z{rng.randrange(vocabulary)}"
+        made.append(" ".join(copy))
+    return made
+
+
+def joined(sets, links):
+    """Least number of each one's component."""
+    roots = list(range(len(sets)))
+    for i, j in links:
+        a, b = roots[i], roots[j]
+        roots = [min(a, b) if r in (a, b) else r for r in roots]
+    return roots
+
+
+def test_similarity_bound():
+    """No pair is more similar than its shared weights and its bitmaps allow."""
+    rng = random.Random(5)
+    made = copies(rng, 30, 60, [0, 1, 2, 4, 8]) + copies(rng, 10, 40, [1, 3])
+    made += [" ".join([t] * rng.choice([2, 3])) for t in made[:20]] + ["one two", "one two three"]
+    sets = prob_minhash._sets({k: t.encode() for k, t in enumerate(made)})
+    bits = {k: prob_minhash.bitmap(s[0]) for k, s in sets.items()}
+    total = np.array([sets[k][1].sum() for k in range(len(made))])
+    n = len(made)
+    for least in (0.4, 0.8):
+        open_ = prob_minhash.open_pairs(
+            np.zeros(n), np.arange(n), np.full(n, -1), total, [bits[k] for k in range(n)], least
+        )
+        seen, tight = set(zip(*(x.tolist() for x in open_))), 0
+        for i in range(n):
+            for j in range(i + 1, n):
+                exact = prob_minhash.similarity(sets[i][:2], sets[j][:2])
+                assert abs(exact - brute_similarity(shingles(made[i]), shingles(made[j]))) < 1e-9
+                assert prob_minhash._score(sets[i], sets[j], 2.0) >= exact - 1e-9
+                assert exact < least or (i, j) in seen
+                tight += (i, j) in seen and exact < least - 0.1
+        assert tight < 0.1 * len(seen)
+
+
+@pytest.mark.parametrize("limit", [4 << 20, 8000])
+def test_large_group_of_near_copies(spark, monkeypatch, limit):
+    """All links of a group without a middle, also where its bands are split into parts."""
+    monkeypatch.setattr(prob_minhash, "BLOCK_BYTES", limit)
+    rng = random.Random(3)
+    made = copies(rng, 150, 60, [1, 2, 2, 3, 4]) + copies(rng, 60, 20, [1, 2])
+    sets = [shingles(t) for t in made]
+    pairs = ((i, j) for i in range(len(made)) for j in range(i))
+    links = [(i, j) for i, j in pairs if brute_similarity(sets[i], sets[j]) >= 0.8]
+    frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = found(prob_minhash.near_classes(frame))
+    assert [got[i].class_id for i in range(len(made))] == joined(sets, links)
+    assert len(links) > 50
+
+
+def test_pairs_grow_with_the_texts(spark, monkeypatch):
+    """What is compared in full grows no faster than the group of near copies."""
+    rng, compared = random.Random(8), []
+    whole = prob_minhash.compare
+
+    def counting(pairs, texts, least):
+        compared[-1] += pairs.count()
+        return whole(pairs, texts, least)
+
+    monkeypatch.setattr(prob_minhash, "compare", counting)
+    made = copies(rng, 4000, 100, [0, 1, 2, 2, 3])
+    for n in (1000, 2000, 4000):
+        compared.append(0)
+        frame = spark.createDataFrame(list(enumerate(made[:n])), "doc_id long, text string")
+        classes = prob_minhash.near_classes(frame)
+        assert classes.groupBy("class_id").count().agg(F.max("count")).first()[0] > 0.9 * n
+    assert compared[2] <= 2.4 * compared[1] <= 2.4 * 2.4 * compared[0]
+    assert compared[2] <= 20 * 4000
+
+
+def test_texts_without_words_are_equal_by_their_bytes(spark):
+    rows = [(1, "-----"), (2, "-----"), (3, "--"), (4, ""), (5, ""), (6, None), (7, "- -")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(prob_minhash.near_classes(frame))
+    assert {i: r.class_id for i, r in got.items()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7}
+    assert sorted(r.doc_id for r in prob_minhash.near_distinct(frame).collect()) == [1, 3, 4, 5, 6, 7]
+
+
+def test_hot_bands_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(texts_module, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(texts_module, "HOT_KEYS", 5)
+    rows = spark.createDataFrame([(k % 7 if k % 2 else 0, k) for k in range(300)], "band long, key long")
+    counted = rows.groupBy("band").count().withColumnRenamed("count", "n")
+    got = texts_module.join_counted(rows, counted, "band", counted.count())
+    assert sorted(got.select("band", "key").collect()) == sorted(rows.collect())
 
 
 def test_near_classes_of_odd_rows(odd):
