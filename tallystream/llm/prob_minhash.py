@@ -61,6 +61,7 @@ BAND_ROWS = 5
 PAIRS_AT_ONCE = 4096  # pairs of one text, above which it is sent to several tasks
 TILE = 64
 LEAST_BITS = 1024  # of a bitmap
+BITS_A_SHINGLE = 32
 BLOCK_BYTES = 4 << 20  # of bitmaps of one band, above which it is split
 BROADCAST_KEYS = 500_000  # keys up to which they are broadcast, 16 bytes each
 BROADCAST_ROOTS = 100_000  # texts with links up to which their roots are broadcast, 32 bytes each
@@ -313,8 +314,8 @@ def _score(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], least: float) -
 
 
 def bitmap(shingle: np.ndarray) -> bytes:
-    """A bit for each shingle, at least eight bits a shingle, so its size follows the text's."""
-    size = max(LEAST_BITS, 1 << int(8 * len(shingle) - 1).bit_length())
+    """A bit for each shingle, among 32 bits a shingle or more, so that few share one."""
+    size = max(LEAST_BITS, 1 << int(BITS_A_SHINGLE * len(shingle) - 1).bit_length())
     bits = np.zeros(size, np.bool_)
     bits[(shingle & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
