@@ -10,8 +10,10 @@ stretch as well.
 
 White space is what ``str.isspace`` takes for it. Null and empty pages, and pages
 without words, have an empty text. A tag that the page's end cuts off is no text.
-Repeated pages each get a row. Without labelled pages fixed weights are used. Only
-page_id, url and html are read.
+Repeated pages each get a row. Without labelled pages fixed weights are used. Of two
+stretches with the same sum the first is taken. Very long pages are read whole, one at a
+time. An empty table gives no rows. Only page_id, url and html are read; other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -41,13 +43,30 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark "
     "math q rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split()
 )
-NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal"
-    r"|newsletter|subscribe|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead"
-    r"|comments?|commentlist|disqus|respond|replies|share|sharing|social|related|widget|login"
-    r"|search|pagination|pager|toolbar|(?:site|page|top|main|global)-?header)(?:$|[\s_-])",
-    re.I,
+BLOCKS = set(
+    "address article aside blockquote body caption center colgroup dd details dir div dl dt "
+    "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html "
+    "legend li main nav ol optgroup option p pre search section summary table tbody td tfoot th "
+    "thead tr ul".split()
 )
+KNOWN = BLOCKS | INLINE | VOID | DROPPED | set(RAW)  # other tags are weighted together
+# A class or id names what an element is not for the article if one of its parts is in the
+# first set and all are in one of both: main-menu, but neither has-sidebar nor related-work.
+NOT_ARTICLE = set(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promos "
+    "promotion cookie cookies consent notice popup modal newsletter subscribe sidebar menu nav "
+    "navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist disqus "
+    "respond replies share sharing social related widget widgets login search pagination pager "
+    "toolbar topbar".split()
+)
+BESIDE = set(
+    "main site page global top bottom left right primary secondary header bar box list item "
+    "links link block area section container wrapper wrap inner outer form buttons button icons "
+    "panel slot unit overlay posts post articles article text message reply module region".split()
+)
+HEADERS = {"site-header", "page-header", "main-header", "top-header", "global-header"}
+COMMENTS = set("comment comments commentlist disqus respond replies".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"}
 
 _TOKEN = re.compile(
@@ -55,12 +74,9 @@ _TOKEN = re.compile(
     r"(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<end>>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(
-    r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden)\s*"
-    r"(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-    re.I,
-)
-MAX_TAGS = 1_000  # kinds of tags that are weighted on their own
+# Names and values in turn, so that nothing within a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?|["'][^"']*["']?""")
+_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 FIXED_WORD, FIXED_TAG = 1.0, -1.5
 
 
@@ -101,38 +117,68 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = end.start() if end else len(page)
 
 
-def is_dropped(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element holds no article text, by its name, class, id or role."""
-    if name in RAW or name in DROPPED or (name in PAGE_FRAME and not inside):
-        return True
-    if name == "footer" or not attributes or name in ("html", "body") or name in CONTENT:
-        return name == "footer"
-    for key, *values in _ATTRIBUTE.findall(attributes):
-        value, key = "".join(values), key.lower()
-        if key in ("class", "id") and NOT_ARTICLE.search(value):
-            return True
-        if key == "role" and value.lower() in ROLES:
-            return True
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+def attributes_of(text: str) -> dict[str, str]:
+    """The attributes in a tag by lower-case name, the first of a name; "" without a value."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if name:
+            found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def names_other(names: str) -> set[str]:
+    """Parts of the classes or ids that say the element is not for the article."""
+    found: set[str] = set()
+    for name in names.split():
+        if name.lower() in HEADERS:
+            return {name.lower()}
+        parts = {p.lower() for p in _PARTS.split(name) if p}
+        if parts & NOT_ARTICLE and parts <= NOT_ARTICLE | BESIDE:
+            found |= parts & NOT_ARTICLE
+    return found
+
+
+def dropped_for(name: str, attributes: str, inside: bool) -> str:
+    """Why an element holds no article text: "tag", "comments", "name", or "" if it may.
+
+    Inside content, headings, sections and paragraphs stay, and ids mean nothing: they are
+    often made from headings.
+    """
+    if name in RAW or name in DROPPED or name == "footer" or (name in PAGE_FRAME and not inside):
+        return "tag"
+    if not attributes or name in ("html", "body"):
+        return ""
+    found = attributes_of(attributes)
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true":
+        return "tag"
+    if found.get("role", "").strip().lower() in ROLES:
+        return "name"
+    if inside and (name in HEADINGS or name in ("section", "p")):
+        return ""
+    other = names_other(f"{found.get('class', '')} {'' if inside else found.get('id', '')}")
+    if other & COMMENTS:
+        return "comments"
+    # Content may be of class post or banner, but not of reader comments.
+    return "name" if other and name not in CONTENT else ""
 
 
 def sequence(page: str) -> list[tuple[str, str, bool]]:
     """(kind, value, inside content): what is left of a page without dropped elements.
 
     Dropped elements leave their tags. One that is never closed ends where an
-    element around it does, and a menu or page frame also where content begins.
+    element around it does, and a menu or page frame also where content begins. Content
+    within other dropped elements (a form around the page, a div named so) is kept, but
+    for content in reader comments, templates and the like.
     """
     out: list[tuple[str, str, bool]] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, str, int]] = []  # name, why dropped, drops around it
     dropped = inside = 0
 
     def leave(depth: int) -> None:
         nonlocal dropped, inside
-        for name, gone in stack[depth:]:
-            dropped -= gone
-            inside -= name in CONTENT
+        if depth < len(stack):
+            dropped = stack[depth][2]
+        inside -= sum(name in CONTENT for name, _, _ in stack[depth:])
         del stack[depth:]
 
     for kind, value, attributes in tokens(page):
@@ -141,7 +187,7 @@ def sequence(page: str) -> list[tuple[str, str, bool]]:
                 out.append(("text", value, inside > 0))
         elif kind == "open":
             if value in CONTENT and dropped:
-                frame = next((d for d, (_, gone) in enumerate(stack) if gone), None)
+                frame = next((d for d, (_, why, _) in enumerate(stack) if why), None)
                 if frame is not None and stack[frame][0] in PAGE_FRAME | {"nav", "head"}:
                     leave(frame)
             out.append(("open", value, inside > 0))
@@ -149,9 +195,12 @@ def sequence(page: str) -> list[tuple[str, str, bool]]:
                 continue
             if value in ("p", "li", "dt", "dd", "option") and stack and stack[-1][0] == value:
                 leave(len(stack) - 1)
-            gone = is_dropped(value, attributes, inside > 0)
-            stack.append((value, gone))
-            dropped += gone
+            why = dropped_for(value, attributes, inside > 0)
+            around = dropped
+            if value in CONTENT and all(w in ("", "name") or n == "form" for n, w, _ in stack):
+                dropped = 0
+            stack.append((value, why, around))
+            dropped += bool(why)
             inside += value in CONTENT
         else:
             depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == value), None)
@@ -161,6 +210,10 @@ def sequence(page: str) -> list[tuple[str, str, bool]]:
     return out
 
 
+def _kind(tag: str) -> str:
+    return tag if tag in KNOWN else "?"
+
+
 def tag_counts(pages: DataFrame) -> dict[str, tuple[int, int]]:
     """How often words and each tag stand inside and outside content, over labelled pages."""
 
@@ -176,7 +229,7 @@ def tag_counts(pages: DataFrame) -> dict[str, tuple[int, int]]:
                         if kind == "text":
                             counts[""] += len(value.split())
                         elif value not in CONTENT:
-                            counts[value[:32]] += 1
+                            counts[_kind(value)] += 1
         names = list({*inner, *outer})
         yield pa.RecordBatch.from_arrays(
             [
@@ -191,8 +244,7 @@ def tag_counts(pages: DataFrame) -> dict[str, tuple[int, int]]:
         run, "tag string, inner long, outer long"
     )
     total = counted.groupBy("tag").agg(F.sum("inner").alias("inner"), F.sum("outer").alias("outer"))
-    top = total.orderBy(F.col("tag") != "", F.desc(F.col("inner") + F.col("outer")), "tag")
-    return {r.tag: (r.inner, r.outer) for r in top.limit(MAX_TAGS).collect()}
+    return {r.tag: (r.inner, r.outer) for r in total.collect()}  # at most one row a known tag
 
 
 def weights(pages: DataFrame) -> dict[str, float]:
@@ -226,7 +278,7 @@ def extract(page: str | None, score: dict[str, float]) -> str:
         return ""
     parts = sequence(page)
     values = [
-        len(value.split()) * score[""] if kind == "text" else score.get(value[:32], FIXED_TAG)
+        len(value.split()) * score[""] if kind == "text" else score.get(_kind(value), FIXED_TAG)
         for kind, value, _ in parts
     ]
     # Content elements are where labels come from: the weakest of tags, so that none is learnt.

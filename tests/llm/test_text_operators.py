@@ -250,6 +250,93 @@ def test_main_text(spark):
     assert got[6].text == "cut" and got[7].text == "deep"
 
 
+PARAGRAPH = " ".join(f"word{i}" for i in range(55))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div style='overflow:hidden'>{}</div>", '<div style="overflow: hidden"><p>{}</p></div>',
+        '<section title="a hidden gem">{}</section>', '<div onclick="show(hidden)">{}</div>',
+        '<div class="content has-sidebar">{}</div>', '<div class="no-sidebar"><article>{}</article></div>',
+        '<article><section id="related-work">{}</section></article>',
+        "<form id=aspnet><article>{}</article></form>", "<form><div><main><p>{}</p></main></div></form>",
+        '<div id="menu" class="wide"><main>{}</main></div>', '<article><h2 id="search">{}</h2></article>',
+        '<div class="nav">x</div><article class="post comment-free">{}</article>',
+        '<div data-class="menu" alt="sidebar">{}</div>', "<body class=home><div>{}</div></body>",
+        '<table><tr><td class="market-share">{}</td></tr></table>',
+        '<article><p class="notice">{}</p></article>', "<x-page><y-part>{}</y-part></x-page>",
+    ],
+)
+def test_text_is_kept(page):
+    for score in ({"": main_text.FIXED_WORD}, {"": 0.5, "p": -0.05, "nav": -2.0}):
+        assert main_text.extract(page.format(PARAGRAPH), score) == PARAGRAPH
+
+
+@pytest.mark.parametrize(
+    "other",
+    [
+        '<div class="main-menu">{}</div>', '<div id="cookie-notice">{}</div>', "<div hidden>{}</div>",
+        '<div class="ad">{}</div>', '<div class="sidebar left">{}</div>', "<nav>{}</nav>",
+        '<section id="comments"><article class="comment"><p>{}</p></article></section>',
+        '<div class="commentList"><article>{}</article></div>', '<ul role="navigation"><li>{}</ul>',
+        '<div aria-hidden="true">{}</div>', "<form>{}</form>", "<template><article>{}</article></template>",
+        "<aside>{}</aside>", "<script>{}</script>", "<footer><p>{}</p></footer>", "<header>{}</header>",
+        '<div class="ad-container">{}</div>', '<div class="siteSidebar">{}</div>',
+    ],
+)
+@pytest.mark.parametrize("around", ["<div>{}</div>", "<article>{}</article>", "<p>{}</p><p>b c</p>"])
+def test_other_elements_go(other, around):
+    if "article" in other:
+        around = "<article>{}</article>"
+    noise = "buy this now " * 30
+    content = around.format(PARAGRAPH)
+    want = main_text.extract(content, {"": 1.0})
+    assert PARAGRAPH in want
+    for page in (other.format(noise) + content, content + other.format(noise)):
+        assert main_text.extract(page, {"": 1.0}) == want
+
+
+def test_best_stretch_against_brute_force():
+    rng = random.Random(4)
+    for n in (0, 1, 2, 5, 20):
+        for _ in range(200):
+            scores = [rng.choice([-2, -1.5, -0.5, 0, 1, 1, 3]) for _ in range(n)]
+            sums = [(sum(scores[i:j]), -i, -j) for i in range(n) for j in range(i + 1, n + 1)]
+            best = max((s for s in sums if s[0] > 0), default=None)
+            start, end = main_text.best_stretch(scores)
+            assert sum(scores[start:end]) == (best[0] if best else 0)
+            assert (start, end) == (0, 0) if best is None else start < end
+
+
+def test_weights_count_tags_inside_and_outside(spark):
+    pages = ["<nav>a b</nav><article><p>c d e</p><p>f</p></article><div>g</div>", "<p>none</p>",
+             "<main>x</main><article>y</article>", None, ""]
+    long = "t" * 100
+    pages.append(f"<{long}1>u</{long}1><article><{long}2>v w</{long}2></article>")
+    frame = spark.createDataFrame([(p,) for p in pages], "html string")
+    counts = main_text.tag_counts(frame)
+    assert counts[""] == (6, 2) and counts["p"] == (4, 0) and counts["div"] == (0, 2)
+    assert counts["?"] == (2, 2)  # elements that HTML does not have, whatever their number
+    found = main_text.weights(frame)
+    assert found["p"] > found["div"] and found[""] > 0
+
+
+def test_layouts_without_article(spark):
+    """Weights learnt from labelled pages find the content of pages that have no such element."""
+    labelled = "<nav><ul><li><a href=x>one</a></ul></nav><article><h1>t u</h1><p>{}</p></article>"
+    plain = "<ul><li><a href=x>go</a><li><a href=y>to</a></ul><div><h1>t u</h1><p>{0}</p><p>{0}</p></div>"
+    rows = [(k, "u", labelled.format(PARAGRAPH)) for k in range(20)] + [(99, "u", plain.format(PARAGRAPH))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = found(main_text.main_texts(frame), "page_id")[99]
+    assert got.text.endswith(f"{PARAGRAPH}\n\n{PARAGRAPH}") and "go" not in got.text.split()
+
+
+def test_a_very_long_page():
+    text = "word " * 400_000
+    assert main_text.extract(f"<nav>x</nav><p>{text}</p>", {"": 1.0}) == text.strip()
+
+
 def test_main_text_of_pages(spark, sf_dir):
     rows = found(driver.queries()["op4_main_text"](spark, sf_dir), "page_id")
     for page in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
@@ -576,16 +663,16 @@ def mixed(frame):
     return list(ids.values())
 
 
-TEXT = "one two three four"
+FOUR = "one two three four"
 
 
 @pytest.mark.parametrize(
     "rows",
     [
-        [(None, "a", TEXT)] * 1000,
-        [(None, "a", TEXT)] * 600 + [(None, "b", TEXT)] * 400,
-        [(k % 2, "a", TEXT) for k in range(500)] + [(7, "b", TEXT)] * 500,
-        [(1, "a", TEXT)] * 900 + [(k, "a", TEXT + " five" * (k % 9)) for k in range(100)] + [(5, "b", "x y")] * 90,
+        [(None, "a", FOUR)] * 1000,
+        [(None, "a", FOUR)] * 600 + [(None, "b", FOUR)] * 400,
+        [(k % 2, "a", FOUR) for k in range(500)] + [(7, "b", FOUR)] * 500,
+        [(1, "a", FOUR)] * 900 + [(k, "a", FOUR + " five" * (k % 9)) for k in range(100)] + [(5, "b", "x y")] * 90,
         [(k, "a" if k % 3 else None, "w " * (k % 40)) for k in range(700)],
     ],
 )
