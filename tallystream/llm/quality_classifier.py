@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
 Words and word shapes (letter case, digits, signs) are hashed into a fixed number
-of rows. Every row has a fixed sparse index vector; a row's word vector is the sum
+of rows, so that words share vectors: the table's size is the same for every corpus. Every row has a fixed sparse index vector; a row's word vector is the sum
 of the index vectors of its neighbours over all documents of the corpus, summed in
 the tasks and then by row. A document is pooled to the means of its words' and
 shapes' unit vectors, their lengths, and how alike neighbouring words are. A
@@ -13,7 +13,8 @@ lang, source and doc_id are no inputs. Null and empty texts pool to zeros and ge
 the score of that. Without usable labels every score is 0.5; with labels of one
 kind it is that kind's rate, smoothed. Rows with a null doc_id are scored, and
 not held out. Repeated documents each get a row. Labels of a null or repeated
-doc_id: null ones are dropped, repeated ones all used.
+doc_id: null ones are dropped, repeated ones all used. Very long texts are pooled whole, in
+blocks of words. An empty table gives no rows. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.llm.texts import mix, raw_text, slices
+from tallystream.llm.texts import mix, pieces, raw_text, slices
 
 WORD_ROWS = 8192
 SHAPE_ROWS = 512
@@ -39,6 +40,8 @@ SAMPLE = 8_000  # labelled rows that the network is fitted on, at most
 HIDDEN = 16
 THRESHOLD = 0.3
 CACHE = 300_000
+BLOCK = 1 << 16  # words that are worked on at once
+COUNTED_AT_ONCE = 2 << 20  # bytes of text, while neighbours are counted
 
 _SHAPE = bytes(
     65 if 65 <= c <= 90 else 97 if c > 127 or 97 <= c <= 122 else 48 if 48 <= c <= 57 else c
@@ -64,12 +67,17 @@ _KNOWN = _Rows()
 
 def token_rows(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word rows, shape rows and bounds of the texts' words, split at white space."""
-    tokens = [r.split() for r in raws]
-    bounds = np.cumsum([0, *map(len, tokens)])
-    packed = np.fromiter(
-        (_KNOWN[w] for ws in tokens for w in ws), np.int64, bounds[-1]
-    )
-    return packed // SHAPE_ROWS, WORD_ROWS + packed % SHAPE_ROWS, bounds
+    known = _KNOWN.__getitem__
+    counts, found = [0], [np.empty(0, np.int64)]
+    for raw in raws:
+        n = 0
+        for piece in pieces(raw):
+            words = piece.split()
+            found.append(np.fromiter(map(known, words), np.int64, len(words)))
+            n += len(words)
+        counts.append(n)
+    packed = np.concatenate(found)
+    return packed // SHAPE_ROWS, WORD_ROWS + packed % SHAPE_ROWS, np.cumsum(counts)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -78,29 +86,43 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return (draw % np.uint64(DIM)).astype(np.int64), np.where(draw >> np.uint64(63), 1.0, -1.0)
 
 
+def add_contexts(
+    sums: np.ndarray, text: np.ndarray, words: np.ndarray, shapes: np.ndarray, block: int
+) -> None:
+    """Adds to each row's sum the index vectors of its neighbours in the same text.
+
+    Only pairs that begin within the first ``block`` words count.
+    """
+    place, sign = index_vectors()
+    code = 2 * place + (sign < 0)  # place and sign of an entry in one number
+    keys = []
+    for rows in (words, shapes):
+        for step in range(1, WINDOW + 1):
+            left, right = rows[:-step][:block], rows[step:][:block]
+            near = (text[step:] == text[:-step])[:block]
+            left, right = left[near], right[near]
+            for a, b in ((left, right), (right, left)):
+                keys += [a * (2 * DIM) + code[b, k] for k in range(NONZERO)]
+    found = np.bincount(np.concatenate(keys), minlength=2 * ROWS * DIM).reshape(ROWS, DIM, 2)
+    sums += found[:, :, 0] - found[:, :, 1]
+
+
 def context_sums(docs: DataFrame) -> np.ndarray:
     """Word vectors of all rows, over the whole corpus. ROWS x DIM numbers at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, sign = index_vectors()
-        sums = np.zeros(ROWS * DIM)
+        sums = np.zeros((ROWS, DIM), np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=COUNTED_AT_ONCE):
                 words, shapes, bounds = token_rows(part.column("raw").to_pylist())
-                text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                for rows in (words, shapes):
-                    for step in range(1, WINDOW + 1):
-                        near = text[step:] == text[:-step]
-                        left, right = rows[:-step][near], rows[step:][near]
-                        for k in range(NONZERO):
-                            for a, b in ((left, right), (right, left)):
-                                sums += np.bincount(
-                                    a * DIM + place[b, k], sign[b, k], minlength=ROWS * DIM
-                                )
-        table = sums.reshape(ROWS, DIM).astype(np.int64)
-        used = np.flatnonzero(table.any(axis=1))
+                for at in range(0, len(words), BLOCK):
+                    # Neighbours reach over a block's end, but not over a text's.
+                    to = at + BLOCK + WINDOW
+                    text = np.searchsorted(bounds, np.arange(at, min(to, len(words))), "right")
+                    add_contexts(sums, text, words[at:to], shapes[at:to], BLOCK)
+        used = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), *(pa.array(table[used, k]) for k in range(DIM))], names
+            [pa.array(used), *(pa.array(sums[used, k]) for k in range(DIM))], names
         )
 
     names = ["row", *(f"v{k}" for k in range(DIM))]
@@ -115,28 +137,22 @@ def context_sums(docs: DataFrame) -> np.ndarray:
 def pooled(raws: list[bytes], table: np.ndarray) -> np.ndarray:
     """One row of features per text."""
     words, shapes, bounds = token_rows(raws)
-    n = len(raws)
-    counts = np.diff(bounds)
-    text = np.repeat(np.arange(n), counts)
-    size = np.maximum(counts, 1)[:, None]
-
-    def sums(values: np.ndarray) -> np.ndarray:
-        running = np.zeros((len(values) + 1, values.shape[1]))
-        np.cumsum(values, axis=0, dtype=np.float64, out=running[1:])
-        return running[bounds[1:]] - running[bounds[:-1]]
-
-    parts = []
-    for rows in (words, shapes):
-        vectors = table[rows]
-        mean = sums(vectors) / size
-        alike = np.zeros((len(rows), 2))
-        if len(rows) > 1:
-            near = text[1:] == text[:-1]
-            alike[1:, 0] = np.einsum("ij,ij->i", vectors[1:], vectors[:-1]) * near
-            alike[1:, 1] = (rows[1:] == rows[:-1]) & near
-        parts += [mean, np.linalg.norm(mean, axis=1, keepdims=True), sums(alike) / size]
-    parts.append(np.log1p(counts)[:, None] / 10)
-    return np.hstack(parts)
+    out = np.zeros((len(raws), 2 * (DIM + 3) + 1))
+    for k, (s, e) in enumerate(zip(bounds[:-1], bounds[1:])):
+        for part, rows in enumerate((words, shapes)):
+            at = part * (DIM + 3)
+            for start in range(s, e, BLOCK):
+                # One word of the block before, for the pair across the blocks' edge.
+                near = rows[max(s, start - 1) : min(e, start + BLOCK)]
+                vectors = table[near]
+                out[k, at : at + DIM] += vectors[start - max(s, start - 1) :].sum(axis=0)
+                if len(near) > 1:
+                    out[k, at + DIM + 1] += np.dot(vectors[1:].ravel(), vectors[:-1].ravel())
+                    out[k, at + DIM + 2] += np.count_nonzero(near[1:] == near[:-1])
+            out[k, at : at + DIM + 3] /= max(e - s, 1)
+            out[k, at + DIM] = np.linalg.norm(out[k, at : at + DIM])
+    out[:, -1] = np.log1p(np.diff(bounds)) / 10
+    return out
 
 
 class Network:
