@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from tallystream.plans import QUERIES
 
-ON_THE_CLOCK = ("windows_append", "windows_append_sql")
+ON_THE_CLOCK = ("windows_append", "windows_append_sql", "windows_messages")
 RUNS = 3
 
 

@@ -32,7 +32,7 @@ from tallystream.sources.topics import (
 from tallystream.streaming import jobs
 from tallystream.streaming.jdbc import counters_target, totals_target, windows_target
 from tallystream.streaming.ledger import Ledger
-from tallystream.streaming.processing_time import closing_windows, closing_windows_sql
+from tallystream.streaming.processing_time import await_guarded, closing_windows, closing_windows_sql
 from tallystream.streaming.sinks import (
     file_topic_writer,
     kafka_batch_write,
@@ -183,7 +183,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             kafka_batch_write(table, kafka_writer_options(args.servers, args.to_topic), args.key)
         return
-    start(spark, args).awaitTermination()
+    await_guarded(start(spark, args))
 
 
 if __name__ == "__main__":

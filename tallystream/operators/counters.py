@@ -70,7 +70,7 @@ def counters_to_json(
 
     Its input has one row per user and key, so what is collected for a user is
     its own map, the size of the document that is written. ``also`` are further
-    aggregates per user.
+    aggregates per user. A row without key adds nothing to the map.
 
     A user's keys come from different tasks, so lists started before the shuffle
     would hold about one entry each and cost more than the rows: the rows are
@@ -78,7 +78,8 @@ def counters_to_json(
     one partition.
     """
     rows = sums if together else sums.repartition("user_id")
-    entries = F.array_sort(F.collect_list(F.struct("key", "total")))
+    entry = F.when(F.col("key").isNotNull(), F.struct("key", "total"))
+    entries = F.array_sort(F.collect_list(entry))
     text = F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
     return rows.groupBy("user_id").agg(text.alias(column), *also)
 
@@ -104,13 +105,25 @@ def merge_counters(delta: DataFrame, stored: DataFrame) -> DataFrame:
     """A5: stored and new maps added key by key, for the users with new rows.
 
     Keys of either side survive, common keys add. ``delta`` may hold many rows
-    per user; they are added up before they meet the stored maps. A new row
-    with an empty map still gives its user's stored map.
+    per user. A new row with an empty map still gives its user's stored map.
+
+    Both sides go into one bag, whose rows say which side they are from, and are added
+    up once per user and key; then a user's keys become a map if any row was new. So each
+    side is read once and nothing is joined. An empty or null new map leaves a row without
+    key, which says no more than that.
     """
-    fresh = sum_counters(explode_counters(delta))
-    known = explode_counters(touched_only(stored, delta))
-    both = fresh.select("user_id", "key", F.col("total").cast("string").alias("value"))
-    return counters_to_json(sum_counters(both.unionByName(known)))
+    entries = F.explode_outer(counter_map(F.col("general_stats"))).alias("key", "value")
+    fresh = delta.select("user_id", entries).withColumn("is_new", F.lit(True))
+    known = explode_counters(stored.where("user_id IS NOT NULL")).withColumn("is_new", F.lit(False))
+    sums = (
+        fresh.unionByName(known)
+        .groupBy("user_id", "key")
+        .agg(F.sum(_integer(F.col("value"))).alias("total"), F.max("is_new").alias("is_new"))
+    )
+    merged = counters_to_json(
+        sums, F.max("is_new").alias("is_new"), F.count("key").alias("keys")
+    )
+    return merged.where("is_new AND keys > 0").drop("is_new", "keys")
 
 
 def insert_defaults(rows: DataFrame, created: Column | None = None) -> DataFrame:

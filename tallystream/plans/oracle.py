@@ -176,6 +176,45 @@ _UNNESTED = """
 SELECT user_id, u.key AS key, json_extract_string(props, '$.' || u.key) AS value
 FROM (SELECT user_id, props, unnest(json_keys(props)) AS key FROM events) u"""
 
+# Rows before the cut come second; most of their windows are closed by then.
+_EVENT_TIME = f"""
+WITH {_PICKS}, placed AS (
+    SELECT user_fkey, risk_amount, ts,
+           time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
+           time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end
+    FROM picks
+), marks AS (
+    SELECT max(ts) FILTER ({_AFTER}) - INTERVAL '1 day' AS first_mark,
+           max(ts) - INTERVAL '1 day' AS last_mark
+    FROM picks
+), judged AS (
+    SELECT placed.*, {_CUT} AND coalesce(window_end <= first_mark, false) AS is_late,
+           window_end <= last_mark AS is_closed
+    FROM placed, marks
+)
+SELECT user_fkey, window_start, window_end, CAST(sum(risk_amount) AS bigint) AS total_risk_amount,
+       CAST(count(*) FILTER (NOT is_late) AS bigint) AS in_time,
+       CAST(count(*) FILTER (is_late) AS bigint) AS late
+FROM judged WHERE is_late OR is_closed GROUP BY 1, 2, 3"""
+
+_QUARANTINED = """
+WITH verdict AS (
+    SELECT concat('fobj__sb_user_profile__', CAST(user_id AS varchar)) AS user_fkey, event_type FROM events
+), texts AS (
+    SELECT *, concat('{"user_fkey":"', user_fkey, '"', CASE event_type
+        WHEN 'purchase' THEN ',"risk_amount":5}' WHEN 'click' THEN '}'
+        WHEN 'view' THEN ',"risk_amount":null}' WHEN 'error' THEN ',"risk_amount":5'
+        ELSE ',"risk_amount":"5"}' END) AS value,
+        event_type IN ('purchase', 'view') AS is_good
+    FROM verdict)
+SELECT CASE WHEN is_good THEN user_fkey END AS user_fkey,
+       CAST(CASE WHEN event_type = 'purchase' THEN 5 END AS int) AS risk_amount,
+       CASE WHEN NOT is_good THEN value END AS corrupt_record,
+       CASE WHEN is_good THEN NULL WHEN event_type = 'click' THEN 'missing field'
+            ELSE 'malformed' END AS reason,
+       CASE WHEN is_good THEN 'good' ELSE 'bad' END AS part
+FROM texts"""
+
 ORACLE_SQL: dict[str, str] = {
     "pick_parse_json": _PARSED,
     "pick_table": _TABLE,
@@ -196,6 +235,7 @@ ORACLE_SQL: dict[str, str] = {
     "counter_cte": _CTE,
     "general_stats": _GENERAL_STATS,
     "stored_lookup": _LOOKUP,
+    "stored_lookup_buckets": _LOOKUP,
     "general_stats_merge": _MERGE,
     "general_stats_upsert": _GENERAL_STATS,
     "user_stats_table_upsert": _STATS_TABLE,
@@ -205,11 +245,15 @@ ORACLE_SQL: dict[str, str] = {
     "tumble_fluent_day": _tumble("1 day"),
     "tumble_messages": _tumble("30 seconds"),
     "tumble_stream": _tumble("30 seconds", _BIGINT),
+    "tumble_event_time": _EVENT_TIME,
+    "windows_messages": _CLOSED,
     "windows_append": _CLOSED,
     "windows_append_sql": _CLOSED,
     "ride_copy": _RIDES,
     "ride_copy_stream": _RIDES,
     "publish_keyed_json": _KEYED,
     "strict_missing": _FLAWED,
+    "quarantine_stream": _QUARANTINED,
     "raw_records": _RAW,
+    "tail_stream": _RAW,
 }

@@ -4,8 +4,12 @@ Streaming queries run to the end of the table and return what their sink holds.
 They write below the shared folder of ``scratch_dir``.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallystream.functions import (
     parse_picks,
@@ -45,25 +49,44 @@ from tallystream.streaming.jobs import (
     project_job,
     counters_writer,
     each_batch,
+    launch_guarded,
+    tail_job,
     totals_as_counters,
     totals_job,
     totals_writer,
 )
+from tallystream.streaming.journal import EventWindows, Journal, split_batch
 from tallystream.streaming.ledger import Ledger
 from tallystream.streaming.processing_time import (
     closing_windows,
     closing_windows_sql,
     wait_closed,
 )
+from tallystream.streaming.snapshot import Snapshot
 
 CUT = "2024-01-16 00:00:00"
 EARLY_CUT = "2024-01-02 00:00:00"
+STORED_MAPS = StructType().add("user_id", "long").add("general_stats", "string")
 
 
 def _before(moment: str) -> Column:
     return F.col("ts") < F.lit(moment).cast("timestamp_ntz")
 
 
+def _in_two_runs(
+    spark: SparkSession, sf_dir: str, work: str, run: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Publish the events before a cut and run a query over them, then the later ones.
+
+    ``run`` starts the query over the stream of events, each time under the same name and
+    checkpoint, so that the second run goes on where the first one ended.
+    """
+    rows = views.events(spark, sf_dir)
+    for part in (rows.where(_before(CUT)), rows.where(~_before(CUT))):
+        part.write.mode("append").parquet(f"{work}/events")
+        run(views.files_stream(spark, f"{work}/events", rows.schema)).awaitTermination()
+
+
 def _picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.picks(views.events(spark, sf_dir))
 
@@ -200,31 +223,31 @@ def user_stats_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stateful totals in update mode; the last value of a user counts."""
+    """Stateful totals in update mode; the last value of a user is kept, over
+    two runs of the query."""
     session = _stream_session(spark)
-    totals = user_totals(contributions(views.picks(views.events_stream(session, sf_dir))))
     work = scratch_dir(spark, "user_stats")
+    snapshot = Snapshot(f"{work}/table", ["user_id"], user_stats(spark, sf_dir).schema)
 
-    def keep(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{work}/table/batch={batch_id}")
+    def run(rows: DataFrame) -> StreamingQuery:
+        totals = user_totals(contributions(views.picks(rows)))
+        writer = each_batch(totals, snapshot.put).outputMode("update")
+        return launch(writer, "user_stats", f"{work}/checkpoints", available_now=True)
 
-    writer = each_batch(totals, keep).outputMode("update")
-    launch(writer, "user_stats", f"{work}/checkpoints", available_now=True).awaitTermination()
-    stored = spark.read.parquet(f"{work}/table")
-    return stored.groupBy("user_id").agg(*(F.max_by(c, "batch").alias(c) for c in TOTALS))
+    _in_two_runs(session, sf_dir, work, run)
+    return snapshot.read(spark)
 
 
 def user_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch's totals added to the stored totals."""
+    """Each batch's totals added to the stored totals, over two runs of the query."""
     work = scratch_dir(spark, "user_stats_upsert")
     ledger = _totals_ledger(f"{work}/table")
-    contributed = contributions(views.picks(views.events_stream(spark, sf_dir)))
-    launch(
-        totals_writer(contributed, ledger.add),
-        "user_stats_upsert",
-        f"{work}/checkpoints",
-        available_now=True,
-    ).awaitTermination()
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        writer = totals_writer(contributions(views.picks(rows)), ledger.add)
+        return launch(writer, "user_stats_upsert", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
     return ledger.read(spark)
 
 
@@ -321,41 +344,53 @@ def general_stats_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_counters(after, stored)
 
 
+def stored_lookup_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New maps with the stored map of the user, of which only the buckets that
+    hold such users are read."""
+    after, stored = _split(spark, sf_dir, EARLY_CUT)
+    fresh = counters_to_json(sum_counters(explode_counters(after)))
+    table = Snapshot(f"{scratch_dir(spark, 'stored_maps')}/table", ["user_id"], STORED_MAPS)
+    table.put(stored, "stored", 0)
+    return lookup_stored(fresh, table.read(spark, touched_by=after))
+
+
 def general_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter maps of each batch merged into the stored maps."""
+    """Counter maps of each batch merged into the stored maps, over two runs."""
     work = scratch_dir(spark, "general_stats_upsert")
     ledger = Ledger(f"{work}/table", keys=["user_id", "key"], sums=["total"])
-    counters = _counters(views.events_stream(spark, sf_dir))
-    launch(
-        counters_writer(counters, ledger.add),
-        "general_stats_upsert",
-        f"{work}/checkpoints",
-        available_now=True,
-    ).awaitTermination()
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        writer = counters_writer(_counters(rows), ledger.add)
+        return launch(writer, "general_stats_upsert", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
     return counters_to_json(ledger.read(spark, together="user_id"), together=True)
 
 
 def user_stats_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals as counter maps, with the columns of a first insert."""
+    return _user_stats_table(spark, sf_dir).drop("created", "updated")
+
+
+def _user_stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of users with the time of their first insert, over two runs."""
     work = scratch_dir(spark, "user_stats_table")
     ledger = Ledger(
         f"{work}/table", keys=["user_id", "key"], sums=["total"], firsts=["created"]
     )
-    contributed = contributions(views.picks(views.events_stream(spark, sf_dir)))
 
     def add(batch: DataFrame, query_id: str, batch_id: int) -> None:
         entries = totals_as_counters(batch).withColumn("created", F.current_timestamp())
         ledger.add(entries, query_id, batch_id)
 
-    launch(
-        each_batch(contributed, add),
-        "user_stats_table",
-        f"{work}/checkpoints",
-        available_now=True,
-    ).awaitTermination()
+    def run(rows: DataFrame) -> StreamingQuery:
+        writer = each_batch(contributions(views.picks(rows)), add)
+        return launch(writer, "user_stats_table", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
     rows = ledger.read(spark, together="user_id")
     stored = counters_to_json(rows, F.min("created").alias("created"), together=True)
-    return insert_defaults(stored, F.col("created")).drop("created", "updated")
+    return insert_defaults(stored, F.col("created"))
 
 
 # --- windows -----------------------------------------------------------------
@@ -385,21 +420,116 @@ def tumble_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7 over a stream in any order: window sums of each batch, added by the sink.
+    """A7 over a stream in any order: window sums of each batch, added by the sink, over
+    two runs.
 
     No watermark, so no row can be late, and no state that grows with the table.
     """
     work = scratch_dir(spark, "tumble")
     keys = ["user_fkey", "window_start", "window_end"]
     ledger = Ledger(f"{work}/table", keys=keys, sums=["total_risk_amount"])
-    picks = views.picks(views.events_stream(spark, sf_dir)).select("user_fkey", "risk_amount", "ts")
-    writer = each_batch(
-        picks, lambda df, q, n: ledger.add(tumble(df, on="ts", exact=True), q, n)
-    )
-    launch(writer, "tumble", f"{work}/checkpoints", available_now=True).awaitTermination()
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        picks = views.picks(rows).select("user_fkey", "risk_amount", "ts")
+        writer = each_batch(
+            picks, lambda df, q, n: ledger.add(tumble(df, on="ts", exact=True), q, n)
+        )
+        return launch(writer, "tumble", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
     return ledger.read(spark)
 
 
+def tumble_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the picks' own time under a watermark, and the rows too late for it.
+
+    The picks after the cut come first, so that most of the others are late. Closed
+    windows with what late rows would add to them, and the number of these rows.
+    """
+    work = scratch_dir(spark, "event_time")
+    windows = EventWindows(f"{work}/table", "user_fkey", "risk_amount", "ts", "1 day", "1 hour")
+    rows = views.events(spark, sf_dir)
+    for part in (rows.where(~_before(CUT)), rows.where(_before(CUT))):
+        part.write.mode("append").parquet(f"{work}/events")
+        picks = views.picks(views.files_stream(spark, f"{work}/events", rows.schema))
+        writer = each_batch(picks.select("user_fkey", "risk_amount", "ts"), windows.write)
+        launch(writer, "event_time", f"{work}/checkpoints", available_now=True).awaitTermination()
+    picked = views.picks(rows)
+    late = windows.late(spark, picked.select("user_fkey", "risk_amount", "ts").schema)
+    late = late.groupBy("user_fkey", F.window("ts", "1 hour").alias("w")).agg(
+        F.sum("risk_amount").alias("total"), F.count("*").alias("late")
+    )
+    late = late.select(
+        "user_fkey", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total", "late"
+    )
+    sums = tumble(picked, on="ts", size="1 hour", exact=True).withColumnRenamed(
+        "total_risk_amount", "total"
+    )
+    found = windows.closed(spark, sums.withColumn("rows", F.lit(1).cast("long")).schema)
+    return (
+        found.withColumn("late", F.lit(0).cast("long"))
+        .unionByName(late.withColumn("rows", F.lit(0).cast("long")))
+        .groupBy("user_fkey", "window_start", "window_end")
+        .agg(
+            F.sum("total").alias("total_risk_amount"),
+            F.sum("rows").alias("in_time"),
+            F.sum("late").alias("late"),
+        )
+    )
+
+
+def tail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of every record of a stream, as lines of JSON, in two runs."""
+    work = scratch_dir(spark, "tail")
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        records = views.raw_topic(rows)
+        return tail_job(records, f"{work}/lines", "tail", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
+    return spark.read.schema(raw(spark, sf_dir).schema).json(f"{work}/lines")
+
+
+def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """messages into a table of good and one of bad, both parts of one commit a batch."""
+    work = scratch_dir(spark, "quarantine")
+    journal = Journal(f"{work}/table")
+
+    def judge(batch: DataFrame) -> DataFrame:
+        parsed = quarantine(batch, PRINT_SINK, required=PRINT_SINK.fieldNames(), reason="reason")
+        return parsed.withColumn("part", F.when(F.col("reason").isNull(), "good").otherwise("bad"))
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        messages = views.flawed_messages(rows).select("value")
+        writer = each_batch(messages, split_batch(journal, judge, "part"))
+        return launch(writer, "quarantine", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
+    none = spark.createDataFrame([], "value string")
+    schema = judge(none).drop("part").schema
+    parts = [
+        journal.read(spark, name, schema).withColumn("part", F.lit(name)) for name in ("good", "bad")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def windows_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows as JSON messages in a topic of files, read back as a
+    table; summed per user."""
+    work = scratch_dir(spark, "window_messages")
+    session = _stream_session(spark)
+    picks = views.picks(views.events_stream(session, sf_dir))
+    closed = closing_windows(picks, size="2 seconds", exact=True)
+    stream = launch_guarded(
+        file_topic_writer(closed, f"{work}/topic"), session, "window_messages", f"{work}/checkpoints", "1 second"
+    )
+    wait_closed(stream, size_seconds=2)
+    stored = json_table(spark.read.text(f"{work}/topic"), closed.schema, strict=True)
+    return stored.groupBy("user_fkey").agg(
+        F.sum("total_risk_amount").alias("total_risk_amount")
+    )
+
+
 def _windows_append(windows):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Processing-time windows, written once on close; summed per user.
@@ -410,7 +540,7 @@ def _windows_append(windows):
         session = _stream_session(spark)
         picks = views.picks(views.events_stream(session, sf_dir))
         writer = table_writer(windows(picks, size="2 seconds", exact=True), f"{work}/table")
-        stream = launch(writer, "windows", f"{work}/checkpoints", every="1 second")
+        stream = launch_guarded(writer, session, "windows", f"{work}/checkpoints", "1 second")
         wait_closed(stream, size_seconds=2)
         stored = spark.read.parquet(f"{work}/table")
         return stored.groupBy("user_fkey").agg(
@@ -440,6 +570,7 @@ QUERIES = {
     "counter_cte": counter_cte,
     "general_stats": general_stats,
     "stored_lookup": stored_lookup,
+    "stored_lookup_buckets": stored_lookup_buckets,
     "general_stats_merge": general_stats_merge,
     "general_stats_upsert": general_stats_upsert,
     "user_stats_table_upsert": user_stats_table_upsert,
@@ -449,11 +580,15 @@ QUERIES = {
     "tumble_fluent_day": _tumble_fluent("1 day"),
     "tumble_messages": tumble_messages,
     "tumble_stream": tumble_stream,
+    "tumble_event_time": tumble_event_time,
     "windows_append": _windows_append(closing_windows),
     "windows_append_sql": _windows_append(closing_windows_sql),
+    "windows_messages": windows_messages,
     "ride_copy": ride_copy,
     "ride_copy_stream": ride_copy_stream,
     "publish_keyed_json": publish_keyed_json,
     "strict_missing": strict_missing,
+    "quarantine_stream": quarantine_stream,
     "raw_records": raw,
+    "tail_stream": tail_stream,
 }

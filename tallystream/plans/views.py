@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallystream.functions.encoding import json_text
 from tallystream.functions.picks import user_key
@@ -17,11 +18,18 @@ def events_stream(
 ) -> DataFrame:
     """The same table as a stream. The pattern matches a file and a folder alike."""
     schema = events(spark, sf_dir).schema
+    return files_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_bytes_per_trigger)
+
+
+def files_stream(
+    spark: SparkSession, path: str, schema: StructType, max_bytes_per_trigger: int = 200 << 30
+) -> DataFrame:
+    """Parquet files as a stream, of any age."""
     return (
         spark.readStream.schema(schema)
         .option("maxBytesPerTrigger", max_bytes_per_trigger)
         .option("maxFileAge", MAX_FILE_AGE)
-        .parquet(f"{sf_dir}/events.parque[t]")
+        .parquet(path)
     )
 
 

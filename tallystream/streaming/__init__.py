@@ -10,12 +10,17 @@ from tallystream.streaming.jobs import (
     totals_job,
     window_job,
 )
+from tallystream.streaming.journal import EventWindows, Journal
+from tallystream.streaming.ledger import Ledger
 from tallystream.streaming.processing_time import (
+    LateGuard,
+    await_guarded,
     closing_windows,
     closing_windows_sql,
     heartbeat,
     wait_closed,
 )
+from tallystream.streaming.snapshot import Snapshot
 from tallystream.streaming.sinks import (
     lines_writer,
     preview_writer,
@@ -27,6 +32,12 @@ from tallystream.streaming.sinks import (
 )
 
 __all__ = [
+    "EventWindows",
+    "Journal",
+    "LateGuard",
+    "Ledger",
+    "Snapshot",
+    "await_guarded",
     "closing_windows",
     "closing_windows_sql",
     "lines_writer",

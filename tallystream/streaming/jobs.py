@@ -23,7 +23,7 @@ from tallystream.operators.windows import WINDOW_SIZE
 from tallystream.schemas import PICK_TABLE, PRINT_SINK, RIDE_MESSAGE, RIDE_SINK, RIDE_TABLE
 from tallystream.sources.tables import json_table
 from tallystream.sources.topics import raw_records
-from tallystream.streaming.processing_time import closing_windows
+from tallystream.streaming.processing_time import LateGuard, closing_windows
 from tallystream.streaming.sinks import lines_writer
 
 EVERY = "5 seconds"
@@ -152,11 +152,27 @@ def window_job(
 ) -> StreamingQuery:
     """Messages to processing-time windows, each written once, on close.
 
-    ``windows`` replaces the default aggregation, for example by its SQL form.
+    ``windows`` replaces the default aggregation, for example by its SQL form. A guard
+    stops the query should the clock go back; ``await_guarded`` then fails.
     """
     picks = json_table(messages, PICK_TABLE)
     closed = closing_windows(picks, size) if windows is None else windows(picks)
-    return launch(writer_of(closed), name, checkpoints, every=every)
+    return launch_guarded(writer_of(closed), messages.sparkSession, name, checkpoints, every)
+
+
+def launch_guarded(
+    writer: DataStreamWriter, spark: SparkSession, name: str, checkpoints: str, every: str = EVERY
+) -> StreamingQuery:
+    """A query under a ``LateGuard``, which is its attribute ``guard``."""
+    guard = LateGuard(spark, name)
+    spark.streams.addListener(guard)
+    try:
+        query = launch(writer, name, checkpoints, every=every)
+    except BaseException:
+        spark.streams.removeListener(guard)
+        raise
+    query.guard = guard
+    return query
 
 
 def project_job(

@@ -1,23 +1,29 @@
 """Additive upsert into parquet files (K1, K2 without a database).
 
 Spark's file sinks append or overwrite; they cannot add to a stored row. So
-each micro-batch writes its own pre-aggregated rows into its own folder, and a
-reader adds the folders up. What a batch costs depends on the batch, not on how
+each micro-batch writes its own pre-aggregated rows as a run of its own, and a
+reader adds the runs up. What a batch costs depends on the batch, not on how
 many users are stored.
 
-The folder is named by the query's id and the batch number, and a repeated
-batch overwrites it, so a replay changes nothing. Spark keeps the id in the
-checkpoint: a new checkpoint is a new query, whose batches add to what is there.
+Runs have levels. A batch is a run of level 0. The batch that makes ``fold_every``
+runs of a level writes their sum as one run of the next level instead, and so on
+upwards in the same write. A row is thus rewritten once a level: what is rewritten per
+batch grows with the logarithm of the number of batches, and readers open fewer than
+``fold_every`` runs a level.
 
-Every ``fold_every`` batches a batch writes the sum of all earlier folders of
-its query plus its own rows instead. Readers start at the last complete fold,
-so the number of folders they open stays bounded. A replayed fold is computed
-from the folders before it, and gives the same rows.
+Each commit has a manifest, numbered by the batch, that names all runs (``manifest``).
+A repeated batch finds its manifest and writes nothing. Folders are named by the query's
+id, which Spark keeps in the checkpoint: a new checkpoint is a new query, whose batches
+add to what is there. Runs that were folded stay for ``keep_seconds``.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystream.streaming.manifest import Manifests, children
+
+KEEP_SECONDS = 24 * 3600.0
+
 
 class Ledger:
     def __init__(
@@ -26,114 +32,78 @@ class Ledger:
         keys: list[str],
         sums: list[str],
         firsts: list[str] = (),
-        fold_every: int = 50,
+        fold_every: int = 8,
+        keep_seconds: float = KEEP_SECONDS,
     ):
-        """``sums`` are added up per key; of ``firsts`` the least value stays."""
+        """``sums`` are added up per key; of ``firsts`` the least value stays.
+
+        Less than two runs cannot be folded: a smaller ``fold_every`` counts as two.
+        """
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.sums = list(sums)
         self.firsts = list(firsts)
-        self.fold_every = fold_every
+        self.fold_every = max(2, fold_every)
+        self.keep_seconds = keep_seconds
 
     def add(self, delta: DataFrame, query_id: str, batch_id: int) -> None:
         """Add one batch; ``delta`` is aggregated by the keys already."""
         spark = delta.sparkSession
+        manifests = self._manifests(spark, query_id)
+        last, content = manifests.latest()
+        if last >= batch_id:
+            return  # a replay of a batch that counts already
+        runs = content.get("runs", [])
+        level, folded = 0, []
+        while True:
+            same = [run for run in runs if run["level"] == level]
+            if len(same) < self.fold_every - 1:
+                break
+            folded += same
+            level += 1
         rows = delta.select(*self.keys, *self.sums, *self.firsts)
-        kind = "delta"
-        if (batch_id + 1) % self.fold_every == 0:
-            kind = "fold"
-            earlier = self._folders(spark, query_id, before=batch_id)
-            if earlier:
-                rows = self._total(spark.read.parquet(*earlier).unionByName(rows))
-        (
-            rows.write.mode("overwrite")
-            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-            .parquet(self._folder(query_id, kind, batch_id))
-        )
-        if kind == "fold":
-            self._drop_before(spark, query_id, batch_id - self.fold_every)
+        if folded:
+            rows = self._total(self._read(spark, manifests, folded).unionByName(rows))
+        folder = manifests.new_folder(batch_id)
+        rows.write.parquet(f"{manifests.root}/{folder}")
+        kept = [run for run in runs if run not in folded]
+        new = {"folder": folder, "level": level, "batch": batch_id}
+        # Another attempt that was faster has written the same rows.
+        manifests.commit(batch_id, {"runs": [*kept, new]}, [run["folder"] for run in folded])
 
     def read(self, spark: SparkSession, together: str | None = None) -> DataFrame:
-        """The stored rows, one per key. Fails if no batch has been written.
+        """The stored rows, one per key, as of now. Fails if no batch has been written.
 
         ``together`` names one of the keys by which the caller groups next: rows
         that share it are then put in one partition by the one shuffle of this
         read. They are aggregated per batch already, so there are as many as the
-        group has keys, times the folders.
+        group has keys, times the runs.
         """
         folders = []
-        for name in _children(spark, self.root):
+        for name in children(spark, self.root):
             if name.startswith("query-"):
-                folders += self._folders(spark, name.removeprefix("query-"))
+                manifests = self._manifests(spark, name.removeprefix("query-"))
+                runs = manifests.latest()[1].get("runs", [])
+                folders += [f"{manifests.root}/{run['folder']}" for run in runs]
         if not folders:
             raise FileNotFoundError(f"no complete batch below {self.root}")
         rows = spark.read.parquet(*folders)
         return self._total(rows if together is None else rows.repartition(together))
 
+    def batches(self, spark: SparkSession) -> int:
+        """Commits so far, of all queries: a batch without rows is one, too."""
+        names = [n for n in children(spark, self.root) if n.startswith("query-")]
+        ids = (name.removeprefix("query-") for name in names)
+        return sum(self._manifests(spark, one).latest()[0] + 1 for one in ids)
+
+    def _manifests(self, spark: SparkSession, query_id: str) -> Manifests:
+        return Manifests(spark, f"{self.root}/query-{query_id}", self.keep_seconds)
+
+    def _read(self, spark: SparkSession, manifests: Manifests, runs: list[dict]) -> DataFrame:
+        return spark.read.parquet(*(f"{manifests.root}/{run['folder']}" for run in runs))
+
     def _total(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(
             *(F.sum(c).alias(c) for c in self.sums),
             *(F.min(c).alias(c) for c in self.firsts),
         )
-
-    def _folder(self, query_id: str, kind: str, batch_id: int) -> str:
-        return f"{self.root}/query-{query_id}/{kind}-{batch_id}"
-
-    def _batches(self, spark: SparkSession, query_id: str) -> list[tuple[int, str]]:
-        """(batch, kind) of the query's folders that were written completely."""
-        base = f"{self.root}/query-{query_id}"
-        found = []
-        for name in _children(spark, base):
-            kind, _, batch = name.partition("-")
-            if kind in ("delta", "fold") and _exists(spark, f"{base}/{name}/_SUCCESS"):
-                found.append((int(batch), kind))
-        return sorted(found)
-
-    def _folders(
-        self, spark: SparkSession, query_id: str, before: int | None = None
-    ) -> list[str]:
-        batches = self._batches(spark, query_id)
-        if before is not None:
-            batches = [b for b in batches if b[0] < before]
-        start = max((n for n, kind in batches if kind == "fold"), default=-1)
-        return [
-            self._folder(query_id, kind, n)
-            for n, kind in batches
-            if n > start or (n, kind) == (start, "fold")
-        ]
-
-    def _drop_before(self, spark: SparkSession, query_id: str, batch_id: int) -> None:
-        """Delete folders that an older complete fold has replaced."""
-        batches = self._batches(spark, query_id)
-        if (batch_id, "fold") in batches:
-            for n, kind in batches:
-                if n < batch_id:
-                    _path_and_fs(spark, self._folder(query_id, kind, n), _delete)
-
-
-def _path_and_fs(spark: SparkSession, path: str, action):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return action(target.getFileSystem(spark._jsc.hadoopConfiguration()), target)
-
-
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a folder, as the file system states it."""
-    return _path_and_fs(spark, path, lambda fs, p: fs.getContentSummary(p).getLength())
-
-
-def _delete(fs, path):
-    return fs.delete(path, True)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return _path_and_fs(spark, path, lambda fs, p: fs.exists(p))
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    def names(fs, p):
-        if not fs.exists(p):
-            return []
-        return [s.getPath().getName() for s in fs.listStatus(p)]
-
-    return _path_and_fs(spark, path, names)

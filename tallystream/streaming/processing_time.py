@@ -8,6 +8,10 @@ heartbeat with it.
 
 A row's processing time is its micro-batch's, so no row is ever late, and a
 watermark without delay loses nothing. Keep the trigger well below the window.
+
+A clock that is set back breaks that: rows would fall into closed windows, and Spark drops
+them without a word. ``LateGuard`` watches a job and stops it when a batch reports such
+rows; what the batch dropped is then known, and nothing more is lost.
 """
 
 import time
@@ -15,7 +19,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallystream.operators.windows import WINDOW_SIZE, with_proctime
 
@@ -86,6 +90,45 @@ def closing_windows_sql(
     )
 
 
+class LateGuard(StreamingQueryListener):
+    """Stops a query when one of its batches drops rows of closed windows."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.dropped = spark, name, 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.name == self.name and (dropped := _dropped(progress)):
+            self.dropped += dropped
+            query = self.spark.streams.get(str(progress.id))
+            if query is not None:
+                query.stop()
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def check(self) -> None:
+        """Fails if rows were dropped; call it when the query has ended."""
+        if self.dropped:
+            raise RuntimeError(
+                f"{self.dropped} rows fell into closed windows of {self.name}: the clock went back"
+            )
+
+
+def await_guarded(query: StreamingQuery) -> None:
+    """Wait for the end of a query of ``window_job``; fails if its guard has stopped it."""
+    try:
+        query.awaitTermination()
+    finally:
+        guard = getattr(query, "guard", None)
+        if guard is not None:
+            guard.spark.streams.removeListener(guard)
+            guard.check()
+
+
 def wait_closed(query: StreamingQuery, size_seconds: float, timeout: float | None = None) -> None:
     """Stop a query over a finite input once all its windows are written.
 

@@ -13,8 +13,18 @@ from tallystream.operators.projection import insert_positional
 
 
 def lines_writer(df: DataFrame, path: str) -> DataStreamWriter:
-    """K6: every row as a line of JSON, written by the task that has it; nulls included."""
-    return df.writeStream.format("json").option("path", path).option("ignoreNullFields", "false")
+    """K6: every row as a line of JSON, written by the task that has it; nulls included.
+
+    Times are written to the microsecond, Spark's own precision.
+    """
+    moment = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+    return (
+        df.writeStream.format("json")
+        .option("path", path)
+        .option("ignoreNullFields", "false")
+        .option("timestampNTZFormat", moment)
+        .option("timestampFormat", f"{moment}[XXX]")
+    )
 
 
 def preview_writer(df: DataFrame, rows: int = 20) -> DataStreamWriter:

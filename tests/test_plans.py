@@ -12,7 +12,7 @@ from tallystream.schemas import PICK_TABLE
 from tallystream.sources import json_table
 from tests.conftest import pick, texts
 
-STREAMS = re.compile("stream|upsert|append|topic|insert")
+STREAMS = re.compile("stream|upsert|append|topic|insert|event_time|windows_messages|buckets")
 BATCH = sorted(n for n in QUERIES if not STREAMS.search(n))
 NARROW = [
     "pick_parse_json",
@@ -83,6 +83,16 @@ def test_merge_parses_each_side_once(spark, sf_dir):
     assert plan(driver.queries()["general_stats_merge"](spark, sf_dir)).count("from_json(") == 3
 
 
+def test_merge_reads_each_side_once_and_joins_nothing(spark, sf_dir):
+    text = plan(driver.queries()["general_stats_merge"](spark, sf_dir))
+    assert text.count("FileScan") == 2 and "Join" not in text
+
+
+def test_lookup_reads_the_touched_folders_only(spark, sf_dir):
+    text = plan(driver.queries()["stored_lookup_buckets"](spark, sf_dir))
+    assert "Python" not in text and text.count("FileScan") == 2
+
+
 def test_maps_are_collected_after_one_shuffle(spark, sf_dir):
     """Rows are shuffled by user once, and lists are not shuffled."""
     stored = plan(driver.queries()["general_stats_upsert"](spark, sf_dir))

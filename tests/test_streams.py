@@ -1,17 +1,20 @@
 """T2-T8, K1, K2 on files: streams equal batches, replays change nothing."""
 
+import glob
 import os
+import re
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallystream.functions import parse_picks
+from tallystream.functions import parse_picks, trailing_id
 from tallystream.operators import contributions, counters_to_json, user_totals
 from tallystream.operators.totals import TOTALS
-from tallystream.plans import views
+from tallystream.plans import queries, views
 from tallystream.sources import file_topic
 from tallystream.streaming import (
     copy_job,
@@ -24,7 +27,10 @@ from tallystream.streaming import (
     totals_job,
 )
 from tallystream.streaming.jobs import counters_writer, launch, pick_counters
+from tallystream.streaming.journal import EventWindows, Journal
 from tallystream.streaming.ledger import Ledger
+from tallystream.streaming.manifest import Manifests
+from tallystream.streaming.snapshot import Snapshot
 from tests.conftest import pick, rows, texts
 
 
@@ -103,12 +109,12 @@ def test_failure_between_write_and_commit(spark, sf_dir, folder, fold_every):
 
 
 def test_failure_during_write_leaves_no_part_behind(spark, folder):
-    """A folder without its success mark is not read, and is written anew."""
+    """Files that no manifest names are not read, and the batch is written anew."""
     ledger = totals_ledger(folder)
     delta = spark.createDataFrame([(1, 1, 10, 1, 0, 0)], ["user_id", *TOTALS])
     ledger.add(delta, "q", 0)
     ledger.add(delta, "q", 1)
-    os.remove(f"{folder}/table/query-q/delta-1/_SUCCESS")
+    os.remove(f"{folder}/table/query-q/manifest-1")
     assert rows(ledger.read(spark)) == [(1, 1, 10, 1, 0, 0)]
     ledger.add(delta, "q", 1)
     ledger.add(delta, "q", 1)
@@ -124,13 +130,195 @@ def test_new_checkpoint_adds_to_what_is_stored(spark, sf_dir, folder):
     assert rows(ledger.read(spark)) == expected_totals(df.unionByName(df))
 
 
+ONE = [(1, 1, 10, 1, 0, 0)]
+
+
+def data_folders(folder):
+    return {name for name in os.listdir(f"{folder}/table/query-q") if name.startswith("data-")}
+
+
 def test_folds_bound_the_folders(spark, folder):
-    ledger = totals_ledger(folder, fold_every=3)
-    delta = spark.createDataFrame([(1, 1, 10, 1, 0, 0)], ["user_id", *TOTALS])
-    for n in range(10):
+    ledger = totals_ledger(folder, fold_every=3, keep_seconds=0)
+    delta = spark.createDataFrame(ONE, ["user_id", *TOTALS])
+    for n in range(28):
+        ledger.add(delta, "q", n)
+        # Two runs a level, three more that a commit has just replaced, and two manifests.
+        assert len(data_folders(folder)) <= 2 * 4 + 4 * 3
+    assert rows(ledger.read(spark)) == [(1, 28, 280, 28, 0, 0)]
+    assert len(ledger.read(spark).inputFiles()) <= 8
+
+
+def test_rewritten_rows_grow_with_the_logarithm(spark, folder):
+    """Every row is written once a level: each batch has a user of its own."""
+    written = {}
+    for batches in (4, 16, 40):
+        path = f"{folder}/{batches}"
+        ledger = totals_ledger(path, fold_every=4)
+        for n in range(batches):
+            delta = spark.createDataFrame([(n, 1, 10, 1, 0, 0)], ["user_id", *TOTALS]).coalesce(1)
+            ledger.add(delta, "q", n)
+        all_ = f"{path}/table/query-q/data-*"
+        written[batches] = spark.read.parquet(all_).count() / batches
+        assert ledger.read(spark).count() == batches
+    # 4 batches have one level above the first, 16 and 40 have two.
+    assert written[4] <= 2 and written[16] <= 3 and written[40] <= 3
+
+
+def test_a_reader_outlives_folds(spark, folder):
+    ledger = totals_ledger(folder, fold_every=2)
+    delta = spark.createDataFrame(ONE, ["user_id", *TOTALS])
+    for n in range(3):
+        ledger.add(delta, "q", n)
+    seen = ledger.read(spark)
+    for n in range(3, 9):
         ledger.add(delta, "q", n)
-        assert rows(ledger.read(spark)) == [(1, n + 1, 10 * (n + 1), n + 1, 0, 0)]
-        assert len(os.listdir(f"{folder}/table/query-q")) <= 7
+    assert rows(seen) == [(1, 3, 30, 3, 0, 0)]
+    assert rows(ledger.read(spark)) == [(1, 9, 90, 9, 0, 0)]
+    # Without a time to keep them, replaced runs go with the next commit.
+    strict = totals_ledger(folder, fold_every=2, keep_seconds=0)
+    before = data_folders(folder)
+    strict.add(delta, "q", 9)
+    strict.add(delta, "q", 10)
+    assert len(data_folders(folder)) < len(before)
+    assert rows(strict.read(spark)) == [(1, 11, 110, 11, 0, 0)]
+
+
+def test_two_attempts_at_a_batch_count_once(spark, folder):
+    """A driver that was thought lost commits after its successor: the first one counts."""
+    root = f"{folder}/m"
+    first, second = (Manifests(spark, root, 60) for _ in range(2))
+    assert first.commit(0, {"runs": ["a"]}, [])
+    assert not second.commit(0, {"runs": ["b"]}, [])
+    assert second.latest()[1]["runs"] == ["a"]
+    assert [n for n in os.listdir(root) if "manifest" in n and not n.endswith(".crc")] == ["manifest-0"]
+
+
+VALUES = "user_id long, n long"
+
+
+def test_snapshot_keeps_last_values(spark, folder):
+    schema = spark.createDataFrame([], VALUES).schema
+    table = Snapshot(f"{folder}/t", ["user_id"], schema, buckets=4)
+    assert table.read(spark).isEmpty()
+    put = lambda rows, n: table.put(spark.createDataFrame(rows, VALUES), "q", n)
+    put([(k, 0) for k in range(20)] + [(None, 0)], 0)
+    pinned = table.read(spark)
+    put([(3, 1), (None, 5), (99, 1)], 1)
+    put([(3, 7)], 1)  # a replay changes nothing
+    want = {k: 0 for k in range(20)} | {3: 1, 99: 1, None: 5}
+    assert {r.user_id: r.n for r in table.read(spark).collect()} == want
+    assert {r.n for r in pinned.collect()} == {0} and pinned.count() == 21
+    with pytest.raises(ValueError, match="buckets"):
+        Snapshot(f"{folder}/t", ["user_id"], schema, buckets=8).put(pinned, "q", 2)
+    with pytest.raises(ValueError, match="writes"):
+        table.put(pinned, "another", 2)
+
+
+def test_snapshot_rewrites_touched_buckets_only(spark, folder):
+    schema = spark.createDataFrame([], VALUES).schema
+    table = Snapshot(f"{folder}/t", ["user_id"], schema, buckets=8)
+    table.put(spark.range(100).selectExpr("id AS user_id", "0L AS n"), "q", 0)
+    before = set(table.read(spark).inputFiles())
+    for n in range(1, 30):
+        table.put(spark.createDataFrame([(5, n)], VALUES), "q", n)
+    after = set(table.read(spark).inputFiles())
+    assert len(before - after) == 1 and len(after) <= len(before)  # however many batches
+    assert {r.user_id: r.n for r in table.read(spark).collect()}[5] == 29
+
+
+def test_lookups_read_touched_buckets_only(spark, folder):
+    schema = spark.createDataFrame([], VALUES).schema
+    table = Snapshot(f"{folder}/t", ["user_id"], schema, buckets=16)
+    table.put(spark.range(500).selectExpr("id AS user_id", "id * 2 AS n"), "q", 0)
+    delta = spark.createDataFrame([(7,), (7,), (8,), (10_000,)], "user_id int")
+    part = table.read(spark, touched_by=delta)
+    assert 1 <= len({re.search("bucket_of_key=(\\d+)", f)[1] for f in part.inputFiles()}) <= 3
+    wide, narrow = (delta.join(t, "user_id", "left").collect() for t in (table.read(spark), part))
+    assert sorted(map(str, wide)) == sorted(map(str, narrow))
+    assert {r.n for r in narrow} == {14, 16, None}
+
+
+def test_journal_commits_parts_together(spark, folder):
+    journal = Journal(f"{folder}/j")
+    schema = spark.createDataFrame([], "n int, why string").schema
+    batch = lambda *ns: spark.createDataFrame(
+        [(n, None if n > 0 else "low", "good" if n > 0 else "bad") for n in ns], "n int, why string, part string"
+    )
+    journal.add_parts(batch(1, -1, 2), "part", 0)
+
+    def fail(path):
+        batch(5, -5).withColumnRenamed("part", "p").write.partitionBy("p").parquet(path)
+        raise RuntimeError("lost between the writes")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        journal.add(spark, 1, fail)
+    assert rows(journal.read(spark, "good", schema)) == [(1, None), (2, None)]
+    for _ in range(2):
+        journal.add_parts(batch(3), "part", 1)
+    assert rows(journal.read(spark, "good", schema)) == [(1, None), (2, None), (3, None)]
+    assert rows(journal.read(spark, "bad", schema)) == [(-1, "low")]
+
+
+def test_event_windows_and_late_rows(spark, folder):
+    windows = EventWindows(f"{folder}/w", "u", "v", "ts", "10 seconds", "10 seconds")
+    schema = "u string, v int, ts timestamp_ntz"
+    at = lambda s: datetime(2024, 1, 1, 0, 0, 0) + timedelta(seconds=s)
+    batch = lambda *r: spark.createDataFrame([(u, v, at(s)) for u, v, s in r], schema)
+    first = batch(("a", 1, 5), ("a", 2, 25), ("b", 4, 39))
+    for _ in range(2):
+        windows.write(first, "q", 0)
+    assert windows.journal.state(spark)["watermark"] == "2024-01-01 00:00:29"
+    # The watermark is that of earlier batches: windows that end by 00:00:29 are closed.
+    windows.write(batch(("a", 8, 19), ("a", 16, 21), ("c", 32, 100)), "q", 1)
+    windows.write(spark.createDataFrame([], schema), "q", 2)
+    late = windows.late(spark, batch().schema).collect()
+    assert [(r.u, r.v) for r in late] == [("a", 8)]
+    sums = "u string, window_start timestamp_ntz, window_end timestamp_ntz, total long, rows long"
+    sums = spark.createDataFrame([], sums).schema
+    found = sorted((r.u, r.window_start.second, r.total, r.rows) for r in windows.closed(spark, sums).collect())
+    assert found == [("a", 0, 1, 1), ("a", 20, 18, 2), ("b", 30, 4, 1)]
+    early = windows.closed(spark, sums, until="2024-01-01 00:00:10").collect()
+    assert [(r.u, r.total) for r in early] == [("a", 1)]
+
+
+@pytest.mark.parametrize(
+    "name,table",
+    [
+        ("user_stats_upsert", "table/query-*"), ("general_stats_upsert", "table/query-*"),
+        ("user_stats_table_upsert", "table/query-*"), ("tumble_stream", "table/query-*"),
+        ("user_stats_stream", "table"), ("quarantine_stream", "table"), ("tumble_event_time", "table"),
+    ],
+)
+def test_queries_run_twice_on_one_checkpoint(spark, sf_dir, folder, monkeypatch, name, table):
+    """More than one commit, and one query id, for each query that says so."""
+    monkeypatch.setattr(queries, "scratch_dir", lambda *_: folder)
+    queries.QUERIES[name](spark, sf_dir)
+    [root] = glob.glob(f"{folder}/{table}")
+    numbers = [int(n.split("-")[1]) for n in os.listdir(root) if n.startswith("manifest-")]
+    assert max(numbers) >= 1
+    assert len(glob.glob(f"{folder}/checkpoints/*/commits/1")) == 1
+
+
+def test_created_is_that_of_the_first_run(spark, sf_dir, monkeypatch):
+    started = []
+    whole = queries._in_two_runs
+
+    def timed(session, folder, work, run):
+        def one(stream):
+            started.append(datetime.now())
+            if len(started) == 2:
+                time.sleep(1)
+            return run(stream)
+
+        whole(session, folder, work, one)
+
+    monkeypatch.setattr(queries, "_in_two_runs", timed)
+    table = queries._user_stats_table(spark, sf_dir)
+    cut = started[1] + timedelta(seconds=0.9)
+    users = {r.user_id for r in queries._picks(spark, sf_dir).where(queries._before(queries.CUT))
+             .select(trailing_id(F.col("user_fkey")).alias("user_id")).collect()}
+    for row in table.collect():
+        assert (row.created < cut) == (row.user_id in users)
 
 
 def test_fold_setting_may_change(spark, folder):

@@ -3,10 +3,12 @@
 import time
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallystream.operators import tumble, tumble_sql, with_proctime
 from tallystream.streaming import (
+    await_guarded,
     closing_windows,
     closing_windows_sql,
     file_topic_writer,
@@ -15,6 +17,7 @@ from tallystream.streaming import (
     wait_closed,
     window_job,
 )
+from tallystream.streaming.jobs import launch_guarded
 from tests.conftest import pick, rows, texts
 
 SCHEMA = "user_fkey string, risk_amount int, ts timestamp"
@@ -168,3 +171,51 @@ def test_open_windows_survive_a_restart(spark, folder):
     for row in spark.read.parquet(table).collect():
         sums[row.user_fkey] = sums.get(row.user_fkey, 0) + row.total_risk_amount
     assert sums == {"u__1": 14.0, "u__2": 1.0}
+
+
+class _Progress:
+    """A batch's report as a listener gets it."""
+
+    def __init__(self, query, dropped):
+        self.id, self.name = query.id, query.name
+        self.stateOperators = [type("Operator", (), {"numRowsDroppedByWatermark": dropped})]
+
+
+def test_guard_stops_a_job_that_drops_rows(spark, folder):
+    """A batch that reports rows of closed windows ends the job, and the runner fails."""
+    texts(spark, pick("u__1", 5)).write.text(f"{folder}/in")
+    query = window_job(
+        spark.readStream.text(f"{folder}/in"),
+        lambda df: table_writer(df, f"{folder}/out"),
+        "guarded",
+        f"{folder}/checkpoints",
+        size="2 seconds",
+    )
+    report = lambda n: type("Event", (), {"progress": _Progress(query, n)})
+    query.guard.onQueryProgress(report(0))
+    assert query.isActive
+    query.guard.onQueryProgress(report(3))
+    assert not query.isActive
+    with pytest.raises(RuntimeError, match="3 rows fell into closed windows of guarded"):
+        await_guarded(query)
+
+
+def test_guard_sees_rows_that_spark_drops(spark, folder):
+    """Real reports of a watermark that rows are behind, as after a clock was set back."""
+    schema = "ts timestamp, n int"
+    rows_of = lambda *t: spark.createDataFrame(
+        [(datetime(2024, 1, 1, 0, m), 1) for m in t], schema
+    ).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    rows_of(50)
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+    counts = stream.withWatermark("ts", "0 seconds").groupBy(F.window("ts", "1 minute")).count()
+    writer = counts.writeStream.format("parquet").option("path", f"{folder}/out")
+    query = launch_guarded(writer, spark, "late", f"{folder}/checkpoints", "100 milliseconds")
+    query.processAllAvailable()
+    rows_of(59)
+    query.processAllAvailable()
+    rows_of(10, 11)
+    query.awaitTermination(60)
+    assert not query.isActive
+    with pytest.raises(RuntimeError, match="2 rows fell into closed windows"):
+        await_guarded(query)
