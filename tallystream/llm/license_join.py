@@ -9,12 +9,17 @@ enough of those from the first shared word on (positional filter); windows must
 enough words (length filter). What passes is counted in full, so that every pair at
 the threshold is found.
 
-``labels`` has every template found. Where several share words of one place,
-``notice_labels`` has only that of the best containment there and, if equal, of the
-most words: a notice's own license. Templates equal in both are all named.
+Where several templates share words of one place, only that of the best fit there and, if
+equal, of the most words gives its label: a notice's own license. The fit is the share of
+the template's words that the window holds, times the share of its stretch of text that
+they are, times the share of its pairs of words that follow one another there, so that two
+notices side by side are not taken for a third one. Templates equal in both are all named.
 
 Null texts are empty: no words, no labels, score 0. Repeated documents each get
-a row. Only doc_id and text are read.
+a row. Very long texts are read whole: a window's cost does not depend on the text's
+length. An empty table gives no rows. Only doc_id and text are read; other columns may
+have any name. The templates may have up to ``MAX_TEMPLATE_WORDS`` different words, as
+they are sent to each task; more are refused.
 """
 
 from __future__ import annotations
@@ -40,8 +45,20 @@ TEMPLATES = (
     ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
     ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
     ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    ("Licensed under CC BY-ND 4.0.", "cc-by-nd"),
+    ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa"),
+    ("Licensed under CC BY-NC-ND 4.0.", "cc-by-nc-nd"),
     ("Licensed under CC BY 4.0.", "cc-by"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "agpl"),
     ("Released under the MIT License.", "mit"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+     "without fee is hereby granted", "isc"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to "
+     "endorse or promote products derived from this software without specific prior written "
+     "permission", "bsd"),
+    ("you may not use this file except in compliance with the License. You may obtain a copy of "
+     "the License at http://www.apache.org/licenses/LICENSE-2.0", "apache"),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this "
      "software and associated documentation files, to deal in the Software without "
      "restriction", "mit"),
@@ -150,14 +167,16 @@ def notices(found: list[tuple], tokens: list[bytes]) -> set[str]:
     """Labels of the windows that no better one overlaps."""
     ordered = []
     for t, start, end, shared in found:
-        # Of windows equally good that with most words in the template's order is the notice.
         stretch = tokens[start : end + 1]
         follow = sum(pair in t.pairs for pair in zip(stretch, stretch[1:]))
-        ordered.append(((shared / len(t.ranked), len(t.ranked)), follow, start, end, t.label))
-    ordered.sort(key=lambda x: (x[0], x[1], -x[2]), reverse=True)
+        # Shares of the template, of the stretch, and of the template's pairs of words.
+        fit = shared / len(t.ranked) * min(1.0, shared / len(stretch))
+        fit *= (1 + min(follow, len(t.pairs))) / (1 + len(t.pairs))
+        ordered.append(((fit, len(t.ranked)), start, end, t.label))
+    ordered.sort(key=lambda x: (x[0], -x[1]), reverse=True)
     labels: set[str] = set()
     starts, taken = [], {}  # of windows apart from each other
-    for rank, _, start, end, label in ordered:
+    for rank, start, end, label in ordered:
         before = bisect_right(starts, end) - 1
         if before < 0 or taken[starts[before]][0] < start:
             insort(starts, start)
@@ -185,7 +204,7 @@ def phrase_places(tokens: list[bytes], phrases: list[tuple[tuple[bytes, ...], st
 def license_scan(
     docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] | None = None, threshold: float = 0.8
 ) -> DataFrame:
-    """Per document: words, places of the phrases, labels of phrases and templates, score, notices' own labels.
+    """Per document: words, places of the phrases, labels of phrases and of notices, score.
 
     The score is the highest containment of a template found in a window, else 0.
     """
@@ -202,18 +221,17 @@ def license_scan(
         base, found = {label for _, label in places}, []
         if not index.prefixes.isdisjoint(distinct):
             found = list(index.found(tokens, distinct))
-        labels = {t.label for t, *_ in found}
+        labels = notices(found, tokens)
         score = max((shared / len(t.ranked) for t, *_, shared in found), default=0.0)
         starts = [at for at, _ in places]
         return (
             len(tokens), len(places), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(base | labels)), score,
-            ",".join(sorted(base | notices(found, tokens))),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64(), pa.string()]
-        names = "doc_id n_words n_base first_word last_word base_labels labels score notice_labels".split()
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64()]
+        names = "doc_id n_words n_base first_word last_word base_labels labels score".split()
         for batch in batches:
             for part in slices(batch):
                 columns = zip(*map(judge, part.column("raw").to_pylist()))
@@ -224,5 +242,5 @@ def license_scan(
     return docs.select(F.col("doc_id").cast("long"), raw_text()).mapInArrow(
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-        "base_labels string, labels string, score double, notice_labels string",
+        "base_labels string, labels string, score double",
     )

@@ -11,7 +11,9 @@ labels of a bounded sample of documents.
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans.
 Repeated documents each get a row. Without documents to train on nothing is
-added. Only doc_id and text are read; ``redact`` keeps all columns.
+added. Very long texts are labelled whole; ``converged`` says whether a text's messages
+came to rest. Only documents of up to ``SAMPLE_TOKENS`` such tokens are trained on. An
+empty table gives no rows. Only doc_id and text are read; ``redact`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystream.llm.texts import raw_text, slices
@@ -31,7 +33,15 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 1_000  # documents that the field is trained on, at most
 SAMPLE_TOKENS = 1_000  # tokens that such a document may have
 SURE = 0.9  # posterior from which a token is labelled
-ROUNDS = 30
+ROUNDS = 100
+
+# Documents that look like having data of a kind, to draw the training sample from.
+_LOOKS = {
+    "email": "@[A-Za-z0-9-]+[.]",
+    "ip": "[0-9][.][0-9]+[.][0-9]+[.][0-9]",
+    "card": "[0-9](?:[ -]?[0-9]){11}",
+    "phone": "[+][0-9][ ().0-9-]{7}",
+}
 
 # The patterns' parts. Runs of digits are entered at their start only,
 # and never given back, so that long runs take linear time and the matches stay.
@@ -209,8 +219,12 @@ class Field:
         np.add.at(out, edges[:, 0], pair[rows, :, y[edges[:, 1]]])
         return out
 
-    def beliefs(self, graph: Graph) -> np.ndarray:
-        """Marginals by loopy sum-product; tokens of base spans are observed."""
+    def beliefs(self, graph: Graph) -> tuple[np.ndarray, bool]:
+        """Marginals by loopy sum-product, and whether the messages have converged.
+
+        Tokens of base spans are observed. Messages go on until none moves; those that
+        still do after so many rounds that news has crossed all tokens twice swing for good.
+        """
         n, edges = len(graph.labels), graph.edges
         own = graph.features @ self.node
         seen = graph.labels > 0
@@ -222,8 +236,9 @@ class Field:
         pair = np.concatenate((pair, pair.transpose(0, 2, 1)))
         back = np.concatenate((np.arange(len(edges)) + len(edges), np.arange(len(edges))))
         message = np.zeros((len(source), LABELS))
-        total = own
-        for _ in range(ROUNDS):
+        moved, rounds = np.inf, 0
+        while moved >= 1e-4 and rounds < 2 * n + ROUNDS:
+            rounds += 1
             total = own.copy()
             np.add.at(total, target, message)
             sent = (total[source] - message[back])[:, :, None] + pair
@@ -233,21 +248,19 @@ class Field:
             new = 0.5 * (new + message)  # damped, for cycles
             moved = np.abs(new - message).max(initial=0.0)
             message = new
-            if moved < 1e-3:
-                break
         total = own.copy()
         np.add.at(total, target, message)
         p = np.exp(total - total.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True)
+        return p / p.sum(axis=1, keepdims=True), bool(moved < 1e-4)
 
 
-def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
-    """Base spans, and these with the field's."""
+def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span], bool]:
+    """Base spans, these with the field's, and whether its messages have converged."""
     base = base_spans(text)
     if not field.trained or not _CANDIDATE.search(text):
-        return base, base
+        return base, base, True
     graph = Graph(text, base)
-    sure = field.beliefs(graph)
+    sure, settled = field.beliefs(graph)
     label = np.where(sure.max(axis=1) >= SURE, sure.argmax(axis=1), 0)
     label[graph.labels > 0] = 0
     added: list[Span] = []
@@ -262,13 +275,27 @@ def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
         elif start < end:
             added.append((start, kind - 1, end))
     taken = base + added
-    return base, sorted(taken)
+    return base, sorted(taken), settled
 
 
 def train(docs: DataFrame, limit: int = SAMPLE, most: int = SAMPLE_TOKENS) -> Field:
-    """A field fitted on at most ``limit`` documents of up to ``most`` tokens, by hash of doc_id."""
-    some = docs.filter(F.col("text").rlike("[0-9@]")).select(F.col("doc_id").cast("long").alias("id"))
-    picked = some.filter("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(limit)
+    """A field fitted on at most ``limit`` documents of up to ``most`` tokens, by hash of doc_id.
+
+    An equal part of them is drawn from the documents that look like having data of each
+    kind, and one from those with other digits, so that a kind that is rare in the corpus is learnt, too.
+    """
+    text = F.col("text")
+    looks = [F.when(text.rlike(_LOOKS[kind]), kind) for kind in KINDS]
+    drawn = F.array_compact(F.array(*looks))
+    some = docs.filter(text.rlike("[0-9@]"))
+    some = some.select(F.col("doc_id").cast("long").alias("id"), drawn.alias("kinds"))
+    some = some.filter("id IS NOT NULL").select(
+        "id", F.explode(F.when(F.size("kinds") > 0, F.col("kinds")).otherwise(F.array(F.lit("")))).alias("kind")
+    )
+    # The rank's limit is applied in the tasks first: no kind's documents meet in one task.
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("id"), "id"))
+    picked = some.withColumn("place", place).filter(F.col("place") <= limit // (len(KINDS) + 1))
+    picked = picked.select("id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,12 +336,13 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = model.value
-        names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+        names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "converged"]
         for batch in batches:
             for part in slices(batch):
-                counts, digests, spans = [], [], []
+                counts, digests, spans, settled = [], [], [], []
                 for raw in part.column("raw").to_pylist():
-                    base, found = all_spans(raw.decode("utf-8", "replace"), field)
+                    base, found, converged = all_spans(raw.decode("utf-8", "replace"), field)
+                    settled.append(converged)
                     counts.append([sum(s[1] == k for s in base) for k in range(len(KINDS))])
                     digests.append(hashlib.sha256(spelled(base).encode()).hexdigest())
                     spans.append(spelled(found))
@@ -324,6 +352,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                         *(pa.array(c, pa.int64()) for c in zip(*counts)),
                         pa.array(digests),
                         pa.array(spans),
+                        pa.array(settled, pa.bool_()),
                     ],
                     names,
                 )
@@ -331,7 +360,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), raw_text()).mapInArrow(
         run,
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
-        "base_sha256 string, spans string",
+        "base_sha256 string, spans string, converged boolean",
     )
 
 

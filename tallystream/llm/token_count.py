@@ -5,13 +5,16 @@ pre-tokenizer always has a boundary there, and what it does behind one does not
 depend on what stands before, so the counts of the pieces add up to the text's.
 
 Tier one is a broadcast table of the lengths of frequent pieces, of bounded
-size. Each task of a first pass counts its own pieces in a bounded table and
-sends only its most frequent ones. Tier two is a bounded cache in each worker;
-the pieces of a batch that neither has are encoded together. The tables change
-the speed only, never a count.
+size. It comes from a bounded sample of documents, by a hash of doc_id: each task sends one
+row, the most frequent pieces of its part of the sample, so no piece is shuffled. Tier two
+is a bounded cache in each worker; the pieces of a slice that neither has are encoded
+together. Pieces of more than ``LONG`` characters are encoded as they come and kept in
+neither. The tables change the speed only, never a count.
 
 Null and empty texts have no bytes and no tokens. Repeated documents each get a
-row. Only doc_id and text are read.
+row. A very long text is cut into pieces like any other; one without spaces is a single
+piece, which the library encodes whole. An empty table gives no rows. Only doc_id and text
+are read; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -26,9 +29,10 @@ from pyspark.sql import functions as F
 
 from tallystream.llm.texts import raw_text, slices
 
-FREQUENT = 32_768  # entries of the broadcast table
-TASK_FREQUENT = 8_192  # entries that a task of the first pass sends
-CACHE = 400_000  # entries of a task's counter and of a worker's cache
+FREQUENT = 32_768  # entries of the broadcast table, and those that a task of the sample sends
+SAMPLE = 2_048  # documents that the table comes from, at most
+CACHE = 400_000  # entries of a worker's cache
+LONG = 64  # characters of a piece, above which it is kept in no table
 
 # A space that white space or the end of the text follows is not cut at by split(" ").
 _ODD = re.compile(r" (?:[\s᠎]|$)")
@@ -69,36 +73,57 @@ def _lengths(path: str, pieces: list[str]) -> list[int]:
     return [len(e.ids) for e in encoded]
 
 
-def frequent_pieces(docs: DataFrame, path: str, entries: int, task_entries: int) -> dict[str, int]:
-    """Token counts of the most frequent pieces of the whole corpus."""
+def frequent_pieces(docs: DataFrame, path: str, entries: int, sample: int) -> dict[str, int]:
+    """Token counts of the most frequent pieces of at most ``sample`` documents."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).filter("id IS NOT NULL").distinct()
+    picked = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(sample))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for part in slices(batch):
                 for raw in part.column("raw").to_pylist():
-                    seen.update(token_pieces(raw.decode("utf-8", "replace"))[1:])
-                    if len(seen) > CACHE:
-                        seen = Counter(dict(seen.most_common(CACHE // 2)))
-        top = [(k, v) for k, v in seen.most_common(task_entries) if v > 1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in top], pa.string()), pa.array([v for _, v in top], pa.int64())],
-            ["piece", "n"],
-        )
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pieces = batch.column("piece").to_pylist()
-            lengths = _lengths(path, [f" {p}" for p in pieces])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("piece"), pa.array(lengths, pa.int32())], ["piece", "tokens"]
-            )
-
-    counted = docs.select(raw_text()).mapInArrow(count, "piece string, n long")
-    total = counted.groupBy("piece").agg(F.sum("n").alias("n"))
-    top = total.filter(F.length("piece") <= 64).orderBy(F.desc("n"), "piece").limit(entries)
-    rows = top.select("piece").mapInArrow(encode, "piece string, tokens int").collect()
-    return {r.piece: r.tokens for r in rows}
+                    pieces = token_pieces(raw.decode("utf-8", "replace"))[1:]
+                    seen.update(p for p in pieces if len(p) <= LONG)
+                    if len(seen) > 2 * entries:
+                        seen = Counter(dict(seen.most_common(entries)))
+        top = [(k, v) for k, v in seen.most_common(entries) if v > 1]
+        if top:
+            columns = [pa.array([column]) for column in zip(*top)]
+            yield pa.RecordBatch.from_arrays(columns, ["pieces", "n"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw_text())
+    rows = rows.join(picked, F.col("doc_id") == F.col("id")).select("raw")
+    total: Counter = Counter()
+    for r in rows.mapInArrow(count, "pieces array<string>, n array<long>").toLocalIterator():
+        total.update(dict(zip(r.pieces, r.n)))  # one row a task that has part of the sample
+    top = [piece for piece, _ in total.most_common(entries)]
+    lengths = _lengths(path, [f" {p}" for p in top])
+    return dict(zip(top, lengths))
+
+
+def slice_lengths(
+    path: str, wanted: set[str], frequent: dict[str, int], cache: dict[str, int]
+) -> dict[str, int]:
+    """Token counts of pieces, each after a space; what neither table has is encoded."""
+    found: dict[str, int] = {}
+    missing = []
+    for piece in wanted:
+        n = frequent.get(piece) or cache.get(piece)
+        if n is None:
+            missing.append(piece)
+        else:
+            found[piece] = n
+    stems = {p: _stem(p) for p in missing}
+    new = [s for s in {*stems.values()} if s not in found]
+    lengths = dict(zip(new, _lengths(path, [f" {s}" for s in new])))
+    for piece, stem in stems.items():
+        n = found[stem] if stem in found else lengths[stem]
+        found[piece] = n + (piece != stem)
+    if len(cache) + len(missing) > CACHE:
+        cache.clear()
+    cache.update((p, found[p]) for p in missing if len(p) <= LONG)
+    return found
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, entries: int = FREQUENT) -> DataFrame:
@@ -108,7 +133,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, entries: int = FR
     Special strings in a text count as the library takes them, as one token.
     """
     table = docs.sparkSession.sparkContext.broadcast(
-        frequent_pieces(docs, path, entries, TASK_FREQUENT) if entries else {}
+        frequent_pieces(docs, path, entries, SAMPLE) if entries else {}
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,21 +143,11 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, entries: int = FR
             for part in slices(batch):
                 raws = part.column("raw").to_pylist()
                 cut = [token_pieces(r.decode("utf-8", "replace")) if r else [] for r in raws]
-                missing = {p for pieces in cut for p in pieces[1:]}.difference(frequent, cache)
-                if len(cache) + 2 * len(missing) > CACHE:
-                    cache.clear()
-                    missing = {p for pieces in cut for p in pieces[1:]}.difference(frequent)
-                stems = {p: _stem(p) for p in missing}
-                new = list({*stems.values()}.difference(frequent, cache))
-                cache.update(zip(new, _lengths(path, [f" {p}" for p in new])))
-                for p, stem in stems.items():
-                    if p != stem:
-                        cache[p] = 1 + (frequent[stem] if stem in frequent else cache[stem])
                 first = _lengths(path, [pieces[0] if pieces else "" for pieces in cut])
-                counts = [
-                    head + sum(frequent[p] if p in frequent else cache[p] for p in pieces[1:])
-                    for head, pieces in zip(first, cut)
-                ]
+                rest = [pieces[1:] for pieces in cut]
+                lengths = slice_lengths(path, {p for r in rest for p in r}, frequent, cache)
+                known = lengths.__getitem__
+                counts = [head + sum(map(known, r)) for head, r in zip(first, rest)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
