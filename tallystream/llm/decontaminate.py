@@ -10,7 +10,9 @@ documents pass through one shard after the other in the same tasks.
 
 Null and empty texts have no words and no hits; null and empty items no windows.
 Repeated items count once by item_id, null ids as ``null``. Repeated documents
-each get a row. Only doc_id, text, item_id and item text are read.
+each get a row. Very long texts are streamed whole, one at a time. Empty tables give no
+rows, and no hits. Only doc_id, text, item_id and item text are read; ``decontaminate``
+keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.llm.texts import raw_text, slices, words
+from tallystream.llm.texts import new_names, raw_text, slices, words
 
 WINDOW = 10
 SHARD_WORDS = 200_000
 
-# Columns that are added to a document's own while it passes through the shards.
+# Columns of a document while it passes through the shards.
 TEXT, SPANS, ITEMS = "__raw", "__spans", "__items"
 
 
@@ -211,30 +213,31 @@ def automata(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHAR
     return found
 
 
-def _passes(frame: DataFrame, found: list) -> DataFrame:
-    """Adds hit spans (starts and ends in words, flat) and items of every shard."""
+def _passes(frame: DataFrame, found: list, names: tuple[str, ...] = (TEXT, SPANS, ITEMS)) -> DataFrame:
+    """Adds hit spans (starts and ends in words, flat) and items of every shard.
+
+    ``names``: the column of the texts, and those to add.
+    """
     frame = frame.select(
         "*",
-        F.lit(None).cast("array<int>").alias(SPANS),
-        F.lit(None).cast("array<string>").alias(ITEMS),
+        F.lit(None).cast("array<int>").alias(names[1]),
+        F.lit(None).cast("array<string>").alias(names[2]),
     )
     for automaton in found:
 
         def run(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
             machine = automaton.value
             for batch in batches:
-                for part in slices(batch, TEXT):
+                for part in slices(batch, names[0]):
                     n = part.num_columns
                     spans, items = [], []
-                    texts, before, known = (
-                        part.column(c).to_pylist() for c in (TEXT, SPANS, ITEMS)
-                    )
-                    for raw, old, names in zip(texts, before, known):
+                    texts, before, known = (part.column(c).to_pylist() for c in names)
+                    for raw, old, seen in zip(texts, before, known):
                         new, more = machine.scan(words(raw))
                         if old:
                             new = merged(new + list(zip(old[::2], old[1::2])))
                         spans.append([x for span in new for x in span])
-                        items.append(sorted(more.union(names or ())))
+                        items.append(sorted(more.union(seen or ())))
                     yield pa.RecordBatch.from_arrays(
                         [
                             *part.columns[: n - 2],
@@ -305,14 +308,16 @@ def decontaminate(
     columns stay; ``n_chars``, if there, is the new length of a changed text.
     """
     names, schema = docs.columns, docs.schema
-    frame = _passes(docs.select("*", raw_text().alias(TEXT)), automata(benchmark, window))
+    added = tuple(new_names(names, "raw", "spans", "items"))  # docs may have any columns
+    frame = docs.select("*", raw_text().alias(added[0]))
+    frame = _passes(frame, automata(benchmark, window), added)
     least = min(longest, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, TEXT):
+            for part in slices(batch, added[0]):
                 kept, texts, sizes = [], [], []
-                raws, spans = (part.column(c).to_pylist() for c in (TEXT, SPANS))
+                raws, spans = (part.column(c).to_pylist() for c in added[:2])
                 olds = part.column("text").to_pylist()
                 counts = part.column("n_chars").to_pylist() if "n_chars" in names else olds
                 for raw, hit, old, count in zip(raws, spans, olds, counts):
