@@ -25,7 +25,7 @@ class Snapshot:
         root: str,
         keys: list[str],
         schema: StructType,
-        buckets: int = 64,
+        buckets: int = 32,
         keep_seconds: float = KEEP_SECONDS,
     ):
         """``schema`` has the keys and the values; ``buckets`` must not change later."""
@@ -49,22 +49,29 @@ class Snapshot:
             raise ValueError(f"{self.root} has {content['buckets']} buckets, not {self.buckets}")
         folders = content.get("folders", {})
         rows = changed.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
-        rows = rows.withColumn(BUCKET, self._bucket())
-        touched = self._touched(rows)
-        old = self._paths(folders, touched)
+        # Used twice, and a stateful batch would run again each time.
+        rows = rows.withColumn(BUCKET, self._bucket()).persist()
+        try:
+            folders = content.get("folders", {})
+            touched = self._touched(rows)
+            folder = manifests.new_folder(batch_id)
+            self._replace(rows, self._paths(folders, touched), f"{self.root}/{folder}")
+        finally:
+            rows.unpersist()
+        new = {str(b): f"{folder}/{BUCKET}={b}" for b in touched}
+        replaced = [folders[b] for b in new if b in folders]
+        content = {"query": query_id, "buckets": self.buckets, "folders": {**folders, **new}}
+        manifests.commit(batch_id, content, replaced)
+
+    def _replace(self, rows: DataFrame, old: list[str], path: str) -> None:
+        """Write the touched buckets: the stored rows with other keys, and the new ones."""
         if old:
-            stored = self._read(spark, old).withColumn(BUCKET, self._bucket())
+            stored = self._read(rows.sparkSession, old).withColumn(BUCKET, self._bucket())
             keys = rows.select(*self.keys)
             same = [stored[k].eqNullSafe(keys[k]) for k in self.keys]
             rows = stored.join(keys, same, "left_anti").unionByName(rows)
-        folder = manifests.new_folder(batch_id)
         # One shuffle by bucket, so that a bucket is one file unless it is large.
-        rows = rows.repartition(BUCKET)
-        rows.write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
-        new = {str(b): f"{folder}/{BUCKET}={b}" for b in touched}
-        replaced = [folders[b] for b in new if b in folders]
-        content = {"query": query_id, "buckets": self.buckets, "folders": {**folders, **new}}
-        manifests.commit(batch_id, content, replaced)
+        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
 
     def read(self, spark: SparkSession, touched_by: DataFrame | None = None) -> DataFrame:
         """The rows as of now; those of the buckets that hold keys of a frame, if one is given.
