@@ -1,5 +1,7 @@
 """Running totals per user."""
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,11 +10,12 @@ from tallystream.functions.picks import LOSS, PUSH, WON, gated, outcome, trailin
 TOTALS = ["total_picks", "total_coins_staked", "won", "loss", "push"]
 
 
-def contributions(picks: DataFrame) -> DataFrame:
+def contributions(picks: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """What each pick adds to its user's totals, one row per pick.
 
     Narrow: no shuffle, and the scan reads four columns. A pick in another
-    currency gives a row of zeros, so that its user still gets totals.
+    currency gives a row of zeros, so that its user still gets totals. ``keep``
+    names columns to carry along.
     """
     currency, state = F.col("currency_code"), F.col("settlement_state")
     no_stake = F.raise_error(F.lit("no risk_amount in a pick that counts")).cast("int")
@@ -27,6 +30,7 @@ def contributions(picks: DataFrame) -> DataFrame:
         outcome(state, WON, currency).alias("won"),
         outcome(state, LOSS, currency).alias("loss"),
         outcome(state, PUSH, currency).alias("push"),
+        *keep,
     )
 
 

@@ -228,6 +228,7 @@ ORACLE_SQL: dict[str, str] = {
     "user_stats_stream": _USER_STATS,
     "user_stats_upsert": _USER_STATS,
     "user_stats_from_topic": _USER_STATS,
+    "user_stats_lost_checkpoint": _USER_STATS,
     "user_stats_json": _USER_STATS_JSON,
     "counter_unnest": _UNNESTED,
     "counter_union": _BAG_UNION,

@@ -50,6 +50,7 @@ from tallystream.streaming.jobs import (
     counters_writer,
     each_batch,
     launch_guarded,
+    positioned_totals_job,
     tail_job,
     totals_as_counters,
     totals_job,
@@ -57,6 +58,7 @@ from tallystream.streaming.jobs import (
 )
 from tallystream.streaming.journal import EventWindows, Journal, split_batch
 from tallystream.streaming.ledger import Ledger
+from tallystream.streaming.positions import PositionedLedger
 from tallystream.streaming.processing_time import (
     closing_windows,
     closing_windows_sql,
@@ -269,6 +271,26 @@ def user_stats_from_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.read(spark)
 
 
+def user_stats_lost_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add up the first records of a topic, lose the checkpoint, publish the
+    others, and go on under a new checkpoint that reads the topic from its start.
+
+    Each run reads all files in one batch: files, unlike a topic, are in no order.
+    """
+    work = scratch_dir(spark, "lost_checkpoint")
+    records = views.pick_records(views.events(spark, sf_dir))
+    ends = records.agg(F.min("offset").alias("first"), F.max("offset").alias("last")).first()
+    first = F.col("offset") <= F.lit(((ends["first"] or 0) + (ends["last"] or 0)) // 2)
+    ledger = PositionedLedger(f"{work}/table", keys=["user_id"], sums=TOTALS)
+    for run, part in enumerate((records.where(first), records.where(~first))):
+        part.write.mode("append").parquet(f"{work}/topic")
+        topic = views.files_stream(spark, f"{work}/topic", records.schema, 1 << 60)
+        positioned_totals_job(
+            topic, ledger, "lost_checkpoint", f"{work}/checkpoints-{run}", available_now=True
+        ).awaitTermination()
+    return ledger.read(spark)
+
+
 def _totals_ledger(path: str, **settings) -> Ledger:
     return Ledger(path, keys=["user_id"], sums=TOTALS, **settings)
 
@@ -563,6 +585,7 @@ QUERIES = {
     "user_stats_stream": user_stats_stream,
     "user_stats_upsert": user_stats_upsert,
     "user_stats_from_topic": user_stats_from_topic,
+    "user_stats_lost_checkpoint": user_stats_lost_checkpoint,
     "user_stats_json": user_stats_json,
     "counter_unnest": counter_unnest,
     "counter_union": counter_union,

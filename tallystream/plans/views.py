@@ -33,8 +33,8 @@ def files_stream(
     )
 
 
-def picks(rows: DataFrame) -> DataFrame:
-    """Events as picks: the columns the pick queries use, and the event time."""
+def picks(rows: DataFrame, *keep: str) -> DataFrame:
+    """Events as picks: the columns the pick queries use, the event time, and ``keep``."""
     kind = F.col("event_type")
     state = (
         F.when(kind == "purchase", 511)
@@ -49,6 +49,7 @@ def picks(rows: DataFrame) -> DataFrame:
         F.round(F.col("value") * 100).cast("int").alias("risk_amount"),
         state.alias("settlement_state"),
         "ts",
+        *keep,
     )
 
 
@@ -57,9 +58,8 @@ def _millis(ts: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", epoch, ts)
 
 
-def pick_messages(rows: DataFrame) -> DataFrame:
-    """Events as topic records: ``key``, ``value`` (JSON text), ``ts``."""
-    value = json_text(
+def _pick_text() -> Column:
+    return json_text(
         _millis(F.col("ts")).alias("created_stamp_millis_utc"),
         "currency_code",
         "risk_amount",
@@ -67,7 +67,22 @@ def pick_messages(rows: DataFrame) -> DataFrame:
         "type",
         "user_fkey",
     )
-    return picks(rows).select(F.col("user_fkey").alias("key"), value.alias("value"), "ts")
+
+
+def pick_messages(rows: DataFrame) -> DataFrame:
+    """Events as topic records: ``key``, ``value`` (JSON text), ``ts``."""
+    return picks(rows).select(F.col("user_fkey").alias("key"), _pick_text().alias("value"), "ts")
+
+
+def pick_records(rows: DataFrame) -> DataFrame:
+    """Events as pick messages with their place in a topic."""
+    return picks(rows, "user_id", "event_id").select(
+        F.col("user_fkey").alias("key"),
+        _pick_text().alias("value"),
+        F.lit("picks").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
 
 
 def flawed_messages(rows: DataFrame) -> DataFrame:

@@ -6,20 +6,36 @@ with a text column ``value`` stands in for a topic: files, a rate source, a
 table.
 """
 
+import json
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.schemas import RAW_RECORD
 
 
-def start_options(start: str = "latest") -> dict[str, str]:
+def start_options(start: str | datetime | dict[str, dict[str, int]] = "latest") -> dict[str, str]:
     """Where a *new* query starts. Later runs continue from their checkpoint.
 
     ``latest`` and ``earliest`` are the ends of the topic. ``resume`` is what a
     consumer group with an earliest fallback does: continue from the last run,
     else start at the earliest record. Spark keeps that position in the
     checkpoint, not in the broker.
+
+    A time with a zone starts each partition at its first record of that time or later,
+    or at its end if there is none. A dictionary of topics and partitions gives the
+    offset of each, as ``PositionedLedger.starting_offsets`` does.
     """
+    if isinstance(start, datetime):
+        if start.tzinfo is None:
+            raise ValueError("a start by time needs a time zone")
+        return {
+            "startingTimestamp": str(round(start.timestamp() * 1000)),
+            "startingOffsetsByTimestampStrategy": "latest",
+        }
+    if isinstance(start, dict):
+        return {"startingOffsets": json.dumps(start, sort_keys=True)}
     positions = {"latest": "latest", "earliest": "earliest", "resume": "earliest"}
     if start not in positions:
         raise ValueError(f"start must be one of {sorted(positions)}, not {start!r}")
@@ -29,7 +45,7 @@ def start_options(start: str = "latest") -> dict[str, str]:
 def kafka_options(
     servers: str,
     topic: str,
-    start: str = "latest",
+    start: str | datetime | dict[str, dict[str, int]] = "latest",
     max_offsets_per_trigger: int | None = None,
     **extra: str,
 ) -> dict[str, str]:

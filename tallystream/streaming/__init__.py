@@ -12,6 +12,7 @@ from tallystream.streaming.jobs import (
 )
 from tallystream.streaming.journal import EventWindows, Journal
 from tallystream.streaming.ledger import Ledger
+from tallystream.streaming.positions import PositionedLedger
 from tallystream.streaming.processing_time import (
     LateGuard,
     await_guarded,
@@ -36,6 +37,7 @@ __all__ = [
     "Journal",
     "LateGuard",
     "Ledger",
+    "PositionedLedger",
     "Snapshot",
     "await_guarded",
     "closing_windows",

@@ -23,6 +23,7 @@ from tallystream.operators.windows import WINDOW_SIZE
 from tallystream.schemas import PICK_TABLE, PRINT_SINK, RIDE_MESSAGE, RIDE_SINK, RIDE_TABLE
 from tallystream.sources.tables import json_table
 from tallystream.sources.topics import raw_records
+from tallystream.streaming.positions import PLACE, PositionedLedger
 from tallystream.streaming.processing_time import LateGuard, closing_windows
 from tallystream.streaming.sinks import lines_writer
 
@@ -101,6 +102,23 @@ def totals_job(
     return launch(totals_writer(contributed, write), name, checkpoints, **run)
 
 
+def pick_terms(records: DataFrame) -> DataFrame:
+    """What records add to the totals of their users, with their places in the topic."""
+    place = [*PLACE, "offset"]
+    texts = records.select(F.col("value").cast("string").alias("value"), *place)
+    terms = contributions(parse_picks(texts, keep=place), keep=place)
+    return terms.withColumnRenamed("total_risk_amount", "total_coins_staked")
+
+
+def positioned_totals_job(
+    records: DataFrame, ledger: PositionedLedger, name: str, checkpoints: str, **run
+) -> StreamingQuery:
+    """Records of a topic to running totals that outlive the checkpoint."""
+    narrow = records.select("value", *PLACE, "offset")
+    writer = each_batch(narrow, lambda df, q, n: ledger.add_records(df, q, n, pick_terms))
+    return launch(writer, name, checkpoints, **run)
+
+
 def pick_counters(contributed: DataFrame) -> DataFrame:
     """Contributions as one JSON counter map per pick (F8)."""
     text = stats_json(*map(F.col, ("won", "loss", "push", "total_risk_amount", "total_picks")))

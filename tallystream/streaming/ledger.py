@@ -54,13 +54,7 @@ class Ledger:
         if last >= batch_id:
             return  # a replay of a batch that counts already
         runs = content.get("runs", [])
-        level, folded = 0, []
-        while True:
-            same = [run for run in runs if run["level"] == level]
-            if len(same) < self.fold_every - 1:
-                break
-            folded += same
-            level += 1
+        folded, level = self._to_fold(runs)
         rows = delta.select(*self.keys, *self.sums, *self.firsts)
         if folded:
             rows = self._total(self._read(spark, manifests, folded).unionByName(rows))
@@ -99,6 +93,16 @@ class Ledger:
     def _manifests(self, spark: SparkSession, query_id: str) -> Manifests:
         return Manifests(spark, f"{self.root}/query-{query_id}", self.keep_seconds)
 
+    def _to_fold(self, runs: list[dict]) -> tuple[list[dict], int]:
+        """The runs whose levels the next batch completes, and the level of their sum."""
+        folded, level = [], 0
+        while True:
+            same = [run for run in runs if run["level"] == level]
+            if len(same) < self.fold_every - 1:
+                return folded, level
+            folded += same
+            level += 1
+
     def _read(self, spark: SparkSession, manifests: Manifests, runs: list[dict]) -> DataFrame:
         return spark.read.parquet(*(f"{manifests.root}/{run['folder']}" for run in runs))
 
