@@ -141,6 +141,8 @@ FROM picks"""
 
 _PROJECT = f"WITH {_PICKS} SELECT user_fkey, risk_amount FROM picks"
 
+_FLUSHED = f"WITH {_PICKS} SELECT user_fkey, risk_amount, true AS all_repeated FROM picks"
+
 _RIDES = """
 SELECT event_id AS rideId, user_id AS taxiId, event_type = 'signup' AS isStart,
        CAST(value AS float) AS lon, CAST(-value AS float) AS lat,
@@ -221,6 +223,7 @@ ORACLE_SQL: dict[str, str] = {
     "pick_project": _PROJECT,
     "pick_project_insert": _PROJECT,
     "print_stream": _PROJECT,
+    "flush_stream": _FLUSHED,
     "pick_contributions": _CONTRIBUTIONS,
     "user_stats": _USER_STATS,
     "user_stats_zero_rows": _ZERO_ROWS,

@@ -64,6 +64,7 @@ from tallystream.streaming.processing_time import (
     closing_windows_sql,
     wait_closed,
 )
+from tallystream.streaming.slices import SliceTable, put_parquet
 from tallystream.streaming.snapshot import Snapshot
 
 CUT = "2024-01-16 00:00:00"
@@ -535,6 +536,30 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def flush_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of every pick in slices of 1,000 rows, in two runs. Every third
+    slice of a task is refused once; ``all_repeated`` tells if each of these was repeated,
+    and no other."""
+    work = scratch_dir(spark, "flush")
+
+    def refuse_some(files, path: str, rows, trial: int) -> None:
+        number = int(path.rsplit("-", 1)[1].removesuffix(".parquet"))
+        if number % 3 == 0 and trial == 0:
+            raise OSError("refused once")
+        put_parquet(files, path, rows, trial)
+
+    table = SliceTable(f"{work}/table", refuse_some, rows=1000, seconds=60, pause=0.01)
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        printed = project(views.picks(rows), *PRINT_SINK.fieldNames())
+        writer = each_batch(printed, table.write)
+        return launch(writer, "flush", f"{work}/checkpoints", available_now=True)
+
+    _in_two_runs(spark, sf_dir, work, run)
+    repeated = all(task["retries"] == -(-task["slices"] // 3) for task in table.tasks(spark))
+    return table.read(spark, PRINT_SINK).withColumn("all_repeated", F.lit(repeated))
+
+
 def windows_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows as JSON messages in a topic of files, read back as a
     table; summed per user."""
@@ -604,6 +629,7 @@ QUERIES = {
     "tumble_messages": tumble_messages,
     "tumble_stream": tumble_stream,
     "tumble_event_time": tumble_event_time,
+    "flush_stream": flush_stream,
     "windows_append": _windows_append(closing_windows),
     "windows_append_sql": _windows_append(closing_windows_sql),
     "windows_messages": windows_messages,

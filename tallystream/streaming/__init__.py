@@ -21,6 +21,7 @@ from tallystream.streaming.processing_time import (
     heartbeat,
     wait_closed,
 )
+from tallystream.streaming.slices import SliceTable
 from tallystream.streaming.snapshot import Snapshot
 from tallystream.streaming.sinks import (
     lines_writer,
@@ -38,6 +39,7 @@ __all__ = [
     "LateGuard",
     "Ledger",
     "PositionedLedger",
+    "SliceTable",
     "Snapshot",
     "await_guarded",
     "closing_windows",

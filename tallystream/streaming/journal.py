@@ -47,10 +47,14 @@ class Journal:
     def state(self, spark: SparkSession) -> dict:
         return Manifests(spark, self.root, 0.0).latest()[1].get("state", {})
 
+    def folders(self, spark: SparkSession) -> list[str]:
+        """The folders of all batches so far."""
+        folders = Manifests(spark, self.root, 0.0).latest()[1].get("folders", [])
+        return [f"{self.root}/{folder}" for folder in folders]
+
     def read(self, spark: SparkSession, part: str, schema: StructType) -> DataFrame:
         """The rows of a part in all batches so far."""
-        folders = Manifests(spark, self.root, 0.0).latest()[1].get("folders", [])
-        paths = [f"{self.root}/{folder}/{PART}={part}" for folder in folders]
+        paths = [f"{folder}/{PART}={part}" for folder in self.folders(spark)]
         jvm, conf = spark.sparkContext._jvm, spark._jsc.hadoopConfiguration()
         found = []
         for path in paths:  # a batch may have no rows of this part
