@@ -9,6 +9,7 @@ from tallystream.operators.counters import (
     sum_counters,
     touched_only,
 )
+from tallystream.operators.order import steps_back, with_arrival
 from tallystream.operators.projection import insert_positional, project
 from tallystream.operators.totals import contributions, merge_totals, user_totals
 from tallystream.operators.windows import tumble, tumble_sql, with_proctime
@@ -23,10 +24,12 @@ __all__ = [
     "merge_counters",
     "merge_totals",
     "project",
+    "steps_back",
     "sum_counters",
     "touched_only",
     "tumble",
     "tumble_sql",
     "user_totals",
+    "with_arrival",
     "with_proctime",
 ]

@@ -150,6 +150,12 @@ SELECT event_id AS rideId, user_id AS taxiId, event_type = 'signup' AS isStart,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS rideTime
 FROM events"""
 
+# A copy in order has no step back; the first ride to arrive is the least.
+_ORDERED = """
+SELECT user_id AS "taxiId", count(*) AS rows, CAST(0 AS bigint) AS steps_back,
+       min(event_id) AS first_seen, max(event_id) AS last_seen
+FROM events GROUP BY 1"""
+
 _KEYED = f"""WITH {_PICKS}
 SELECT user_fkey AS key,
        concat('{{"user_fkey":"', user_fkey, '","risk_amount":', risk_amount, '}}') AS value
@@ -255,6 +261,7 @@ ORACLE_SQL: dict[str, str] = {
     "windows_append_sql": _CLOSED,
     "ride_copy": _RIDES,
     "ride_copy_stream": _RIDES,
+    "ride_copy_order": _ORDERED,
     "publish_keyed_json": _KEYED,
     "strict_missing": _FLAWED,
     "quarantine_stream": _QUARANTINED,

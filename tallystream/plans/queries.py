@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tallystream.functions import (
     parse_picks,
+    json_text,
     quarantine,
     stats_json,
     to_messages,
@@ -28,6 +29,7 @@ from tallystream.operators import (
     merge_counters,
     merge_totals,
     project,
+    steps_back,
     sum_counters,
     tumble,
     tumble_sql,
@@ -45,6 +47,7 @@ from tallystream.schemas import (
 from tallystream.sources import file_topic, json_table, raw_records
 from tallystream.streaming import file_topic_writer, launch, scratch_dir, table_writer
 from tallystream.streaming.jobs import (
+    arrival_writer,
     copy_job,
     project_job,
     counters_writer,
@@ -69,6 +72,8 @@ from tallystream.streaming.snapshot import Snapshot
 
 CUT = "2024-01-16 00:00:00"
 EARLY_CUT = "2024-01-02 00:00:00"
+TOPIC_PARTITIONS = 16
+ORDERED_ROWS = 20_000_000
 STORED_MAPS = StructType().add("user_id", "long").add("general_stats", "string")
 
 
@@ -162,6 +167,39 @@ def ride_copy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_table(spark.read.text(f"{work}/topic"), RIDE_SINK, strict=True)
 
 
+def ride_copy_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides published in order, copied over several runs of the query, and
+    per taxi how often a ride came after a later one.
+
+    A publication has one file a partition of the topic, which one task reads, and at most
+    about ``ORDERED_ROWS`` rows, so that a partition that most rides are in stays small;
+    larger tables are published, and copied, in more runs. Sequences are ride ids.
+    """
+    work = scratch_dir(spark, "ride_order")
+    journal = Journal(f"{work}/table")
+    rides = views.rides(views.events(spark, sf_dir)).withColumn(
+        "partition", F.pmod(F.hash("taxiId"), F.lit(TOPIC_PARTITIONS))
+    )
+    ends = rides.agg(F.count("*").alias("n"), F.min("rideId").alias("a"), F.max("rideId").alias("b")).first()
+    runs = max(2, -(-ends["n"] // ORDERED_ROWS))
+    first, width = ends["a"] or 0, -(-((ends["b"] or 0) - (ends["a"] or 0) + 1) // runs)
+    for run in range(runs):
+        low = first + run * width
+        part = rides.where(F.col("rideId").between(low, low + width - 1))
+        ordered = part.repartition(TOPIC_PARTITIONS, "partition").sortWithinPartitions("partition", "rideId")
+        message = json_text(*RIDE_MESSAGE.fieldNames()).alias("value")
+        messages = ordered.select(message, "partition")
+        messages.write.mode("append").partitionBy("partition").text(f"{work}/topic", compression="gzip")
+        copy_job(
+            file_topic(spark, f"{work}/topic/*", max_bytes_per_trigger=1 << 60),
+            lambda rows, schema: arrival_writer(rows, schema, journal),
+            "ride_order",
+            f"{work}/checkpoints",
+            available_now=True,
+        ).awaitTermination()
+    return steps_back(spark.read.parquet(*journal.folders(spark)), "taxiId", "rideId")
+
+
 def publish_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8, F12."""
     return to_messages(pick_project(spark, sf_dir), key="user_fkey")
@@ -635,6 +673,7 @@ QUERIES = {
     "windows_messages": windows_messages,
     "ride_copy": ride_copy,
     "ride_copy_stream": ride_copy_stream,
+    "ride_copy_order": ride_copy_order,
     "publish_keyed_json": publish_keyed_json,
     "strict_missing": strict_missing,
     "quarantine_stream": quarantine_stream,

@@ -17,12 +17,14 @@ from pyspark.sql.types import StructType
 from tallystream.functions.encoding import stats_json
 from tallystream.functions.messages import parse_picks
 from tallystream.operators.counters import explode_counters, sum_counters
-from tallystream.operators.projection import project
+from tallystream.operators.order import with_arrival
+from tallystream.operators.projection import insert_positional, project
 from tallystream.operators.totals import contributions, user_totals
 from tallystream.operators.windows import WINDOW_SIZE
 from tallystream.schemas import PICK_TABLE, PRINT_SINK, RIDE_MESSAGE, RIDE_SINK, RIDE_TABLE
 from tallystream.sources.tables import json_table
 from tallystream.sources.topics import raw_records
+from tallystream.streaming.journal import Journal
 from tallystream.streaming.positions import PLACE, PositionedLedger
 from tallystream.streaming.processing_time import LateGuard, closing_windows
 from tallystream.streaming.sinks import lines_writer
@@ -218,6 +220,16 @@ def copy_job(
     return launch(writer, name, checkpoints, **run)
 
 
+def arrival_writer(rows: DataFrame, schema: StructType, journal: Journal) -> DataStreamWriter:
+    """Rows by position into a table that also holds in which order they came."""
+
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        arrived = with_arrival(batch, batch_id)
+        journal.add(batch.sparkSession, batch_id, lambda path: arrived.write.parquet(path))
+
+    return each_batch(insert_positional(rows, schema), write)
+
+
 def tail_job(
     records: DataFrame, path: str, name: str, checkpoints: str, **run
 ) -> StreamingQuery:
