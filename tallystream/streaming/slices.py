@@ -47,7 +47,7 @@ def place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     if path.startswith("file:"):
         return pyarrow.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     if "://" in path:
-        return pyarrow.fs.FileSystem.from_uri(path)
+        return pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return pyarrow.fs.LocalFileSystem(), path
 
 
