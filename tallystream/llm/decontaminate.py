@@ -5,8 +5,9 @@ through it; the state tells the longest stretch that ends at a word and occurs i
 an item. A stretch of ``window`` words, or a whole shorter item, is a hit.
 
 Items are cut into pieces and dealt into shards of a bounded number of words, so
-that each automaton is of bounded size however many items there are; the
-documents pass through one shard after the other in the same tasks.
+that each automaton is of bounded size however many items there are. A shard's
+automaton is built in a task and stored in the shared folder. Tasks over documents
+read one shard after the other, so neither they nor the driver hold all of them.
 
 Null and empty texts have no words and no hits; null and empty items no windows.
 Repeated items count once by item_id, null ids as ``null``. Repeated documents
@@ -18,19 +19,25 @@ keeps all columns, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from tallystream.llm.texts import new_names, raw_text, slices, words
+from tallystream.llm.texts import new_names, raw_text, slices, stored, words
+from tallystream.streaming.slices import place
 
 WINDOW = 10
 SHARD_WORDS = 200_000
+# Bytes of texts that pass through all shards before the next ones do.
+BLOCK = 32 << 20
 
 # Columns of a document while it passes through the shards.
 TEXT, SPANS, ITEMS = "__raw", "__spans", "__items"
@@ -199,56 +206,103 @@ def pieces(benchmark: DataFrame, window: int = WINDOW, longest: int = SHARD_WORD
     return found.filter("n > 0").distinct()
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> list:
-    """One broadcast automaton for each shard of about ``shard_words`` words at most."""
-    cut = pieces(benchmark, window, max(1, shard_words // 4))
-    total = cut.agg(F.sum("n")).first()[0] or 0
-    shards = -(-total // shard_words)
-    shard = F.pmod(F.xxhash64("item", "piece"), F.lit(max(shards, 1)))
-    found = []
-    for k in range(shards):
-        rows = cut.filter(shard == k).select("item", "piece").collect()
-        items = [(r.item, bytes(r.piece).split()) for r in rows]
-        found.append(cut.sparkSession.sparkContext.broadcast(Automaton(items, window)))
-    return found
+class Shards:
+    """The automata of all shards, read one at a time from a table in the shared folder."""
+
+    _last: tuple[list[str], "Automaton"] | None = None  # of this worker
+
+    def __init__(self, paths: list[str], count: int):
+        self.paths, self.count = paths, count
+
+    def __len__(self) -> int:
+        return self.count
 
+    def __iter__(self) -> Iterator[Automaton]:
+        """Each shard in turn. A shard that is alone stays with the worker for its next task."""
+        if self.count == 1 and Shards._last and Shards._last[0] == self.paths:
+            yield Shards._last[1]
+            return
+        for path in self.paths:
+            files, name = place(path)
+            with files.open_input_file(name) as source:
+                for row in pq.ParquetFile(source).iter_batches(1, columns=["automaton"]):
+                    machine = pickle.loads(row.column(0)[0].as_py())
+                    if self.count == 1:
+                        Shards._last = (self.paths, machine)
+                    yield machine
 
-def _passes(frame: DataFrame, found: list, names: tuple[str, ...] = (TEXT, SPANS, ITEMS)) -> DataFrame:
+
+def automata(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> Shards:
+    """One automaton for each shard of about ``shard_words`` words, built by the task that
+    has the shard and stored in the shared folder. Only the names of the files that hold
+    them come to the driver.
+    """
+    cut = pieces(benchmark, window, max(1, shard_words // 4))
+    total = cut.agg(F.sum("n")).first()[0] or 0
+    count = -(-total // shard_words)
+    if not count:
+        return Shards([], 0)
+
+    def build(rows: pa.Table) -> pa.Table:
+        items = [
+            (name.as_py(), piece.as_py().split())
+            for name, piece in zip(rows.column("item"), rows.column("piece"))
+        ]
+        return pa.table({"automaton": pa.array([pickle.dumps(Automaton(items, window))], pa.binary())})
+
+    shard = F.pmod(F.xxhash64("item", "piece"), F.lit(count))
+    sharded = cut.select(shard.alias("shard"), "item", "piece")
+    built = stored(sharded.groupBy("shard").applyInArrow(build, "automaton binary"), keep=True)
+    return Shards(sorted(built.inputFiles()), built.count())
+
+
+def _blocks(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int
+) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of batches, in lists of at least ``limit`` bytes of text but for the last."""
+    block, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column):
+            block.append(part)
+            size += part.column(column).nbytes
+            if size >= limit:
+                yield block
+                block, size = [], 0
+    if block:
+        yield block
+
+
+def _passes(frame: DataFrame, shards: Shards, names: tuple[str, ...] = (TEXT, SPANS, ITEMS)) -> DataFrame:
     """Adds hit spans (starts and ends in words, flat) and items of every shard.
 
-    ``names``: the column of the texts, and those to add.
+    ``names``: the column of the texts, and those to add. A task holds one shard and one
+    block of texts at a time; several shards are read anew for each block.
     """
-    frame = frame.select(
-        "*",
-        F.lit(None).cast("array<int>").alias(names[1]),
-        F.lit(None).cast("array<string>").alias(names[2]),
-    )
-    for automaton in found:
-
-        def run(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
-            machine = automaton.value
-            for batch in batches:
-                for part in slices(batch, names[0]):
-                    n = part.num_columns
-                    spans, items = [], []
-                    texts, before, known = (part.column(c).to_pylist() for c in names)
-                    for raw, old, seen in zip(texts, before, known):
-                        new, more = machine.scan(words(raw))
-                        if old:
-                            new = merged(new + list(zip(old[::2], old[1::2])))
-                        spans.append([x for span in new for x in span])
-                        items.append(sorted(more.union(seen or ())))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *part.columns[: n - 2],
-                            pa.array(spans, pa.list_(pa.int32())),
-                            pa.array(items, pa.list_(pa.string())),
-                        ],
-                        part.schema.names,
-                    )
-
-        frame = frame.mapInArrow(run, frame.schema)
-    return frame
+    limit = BLOCK if len(shards) > 1 else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, names[0], limit):
+            found = [[([], set()) for _ in range(part.num_rows)] for part in block]
+            for machine in shards:
+                for part, hits in zip(block, found):
+                    for at, raw in enumerate(part.column(names[0])):
+                        spans, items = machine.scan(words(raw.as_py()))
+                        old, seen = hits[at]
+                        if spans:
+                            hits[at] = (merged(old + spans) if old else spans, seen | items)
+            for part, hits in zip(block, found):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns,
+                        pa.array([[x for span in spans for x in span] for spans, _ in hits], pa.list_(pa.int32())),
+                        pa.array([sorted(items) for _, items in hits], pa.list_(pa.string())),
+                    ],
+                    [*part.schema.names, *names[1:]],
+                )
+
+    schema = StructType(list(frame.schema.fields))
+    schema.add(names[1], ArrayType(IntegerType())).add(names[2], ArrayType(StringType()))
+    return frame.mapInArrow(run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -229,6 +229,29 @@ def test_shards_find_the_same(spark, docs, sf_dir):
     assert hits == {r.doc_id: r.n_hit for r in one.collect()}
 
 
+def test_shards_are_stored_and_read_in_turn(spark, monkeypatch):
+    words_of = lambda k: " ".join(f"s{k}w{i}" for i in range(30))
+    bench = spark.createDataFrame([(k, words_of(k)) for k in range(20)], "item_id long, text string")
+    shards = decontaminate.automata(bench, shard_words=100)
+    machines = list(shards)
+    assert len(shards) == len(machines) > 1 and all(decontaminate.place(p) for p in shards.paths)
+    known = [{k for k in range(20) if m.scan(words_of(k).encode().split())[1]} for m in machines]
+    assert set().union(*known) == set(range(20)) and all(len(k) < 20 for k in known)
+    # Blocks of any size give the same rows; texts that meet several shards keep all hits.
+    texts = [(k, f"{words_of(k)} x {words_of((k + 7) % 20)}") for k in range(20)]
+    docs = spark.createDataFrame([*texts, (20, None), (21, "")], "doc_id long, text string").coalesce(1)
+    results = []
+    for block in (1, 700, 1 << 20):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        frame = docs.select("doc_id", decontaminate.raw_text().alias(decontaminate.TEXT))
+        results.append({r.doc_id: (r[2], r[3]) for r in decontaminate._passes(frame, shards).collect()})
+    assert results[0] == results[1] == results[2]
+    for k in range(20):
+        assert results[0][k] == ([0, 30, 31, 61], sorted({str(k), str((k + 7) % 20)}))
+    assert results[0][20] == results[0][21] == ([], [])
+    assert len(decontaminate.automata(bench.limit(0))) == 0
+
+
 def test_decontaminate_cuts_passages(spark, odd):
     passage = " ".join(f"q{i}" for i in range(12))
     bench = spark.createDataFrame([(1, passage), (2, None), (3, "")], "item_id long, text string")
